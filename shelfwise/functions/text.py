@@ -152,43 +152,31 @@ def helpful_count(label: Column) -> Column:
     )
 
 
-def word_ngrams(words: Column, sizes: Iterable[int] = (1, 2)) -> Column:
-    """Space-joined runs of neighbouring words, for each size."""
+def neighbours(words: Column) -> Column:
+    """Each word with its successor; the last one's is NULL."""
+    rest = F.slice(words, 2, F.greatest(F.size(words), F.lit(0)))
+    return F.zip_with(words, rest, lambda a, b: F.struct(a.alias("first"), b.alias("second")))
 
-    def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(words) - n + 1)
-        return F.when(
-            F.size(words) >= n,
-            F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
 
-    return F.flatten(F.array(*[runs(n) for n in sizes]))
+def word_ngrams(col: Column, sizes: Iterable[int] = (1, 2)) -> Column:
+    """Space-joined runs of neighbouring words, for each size.
+
+    A look-ahead captures the run while the match moves on by one word, so the
+    text is read once per size.
+    """
+    body = squeeze(col)
+    runs = [rf"(?<!\S)(?=(\S+(?: \S+){{{n - 1}}})(?!\S))\S" for n in sizes]
+    return F.flatten(F.array(*[F.regexp_extract_all(body, F.lit(r), 1) for r in runs]))
 
 
-def char_ngrams(words: Column, sizes: Iterable[int] = (3, 4, 5)) -> Column:
+def char_ngrams(col: Column, sizes: Iterable[int] = (3, 4, 5)) -> Column:
     """Character runs inside words, each word padded by a blank on both sides.
 
-    A padded word shorter than the run counts once, whole, as the smallest size
-    that exceeds it; larger sizes add nothing.
+    Only the ends of a run may be blank, so none spans two words.  A padded
+    word shorter than the smallest size counts once, whole.
     """
-    sizes = sorted(sizes)
-
-    def runs(word: Column) -> Column:
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
-        length = F.length(padded)
-        whole = F.when(length < sizes[0], F.array(padded)).otherwise(
-            F.array().cast("array<string>")
-        )
-        parts = [
-            F.when(
-                length >= n,
-                F.transform(
-                    F.sequence(F.lit(1), length - n + 1),
-                    lambda i, n=n: F.substring(padded, i, F.lit(n)),
-                ),
-            ).otherwise(F.array().cast("array<string>"))
-            for n in sizes
-        ]
-        return F.flatten(F.array(whole, *parts))
-
-    return F.flatten(F.transform(words, runs))
+    body = F.concat(F.lit(" "), squeeze(col), F.lit(" "))
+    runs = [rf"(?=(.[^ ]{{{n - 2}}}.))" for n in sizes]
+    if min(sizes) > 3:
+        runs.append(rf"(?=( [^ ]{{1,{min(sizes) - 3}}} ))")
+    return F.flatten(F.array(*[F.regexp_extract_all(body, F.lit(r), 1) for r in runs]))

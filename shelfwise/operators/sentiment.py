@@ -117,9 +117,8 @@ def model_text(col: Column, dictionary: Mapping[str, str] = lexicon.SHORTHAND) -
 
 def with_terms(docs: DataFrame, column: str = "clean", chars: bool = False) -> DataFrame:
     """Word 1-2-grams and, if asked, in-word character 3-5-grams."""
-    words = text.tokens(F.col(column))
-    docs = docs.withColumn("terms", text.word_ngrams(words))
-    return docs.withColumn("chars", text.char_ngrams(words)) if chars else docs
+    docs = docs.withColumn("terms", text.word_ngrams(F.col(column)))
+    return docs.withColumn("chars", text.char_ngrams(F.col(column))) if chars else docs
 
 
 def document_frequency(docs: DataFrame, terms: Column, least: int) -> DataFrame:

@@ -160,15 +160,14 @@ def _(t):
 )
 def _(t):
     clean = t.reviews.select(text.clean_text(F.col("Review_Text"), DICTIONARY).alias("clean"))
-    words = F.array_distinct(text.tokens(F.col("clean")))
-    return sentiment.document_frequency(clean, text.char_ngrams(words), 3)
+    return sentiment.document_frequency(clean, text.char_ngrams(F.col("clean")), 3)
 
 
 @query(
     "lexicon_polarity",
     V("reviews") + f""", hits AS (SELECT Review_ID, {sql.words_sql("regexp_replace(lower(Review_Text), '" + sql.EDGE + "', ' ', 'g')")} AS w FROM reviews),
     counted AS (SELECT Review_ID, len(list_filter(w, lambda x: x IN ('and', 'les'))) AS good, len(list_filter(w, lambda x: x IN ('is', 'und'))) AS bad FROM hits)
-    SELECT Review_ID, CASE WHEN good > bad THEN 1 WHEN good < bad THEN 0 ELSE 0.5 END AS polarity FROM counted""",
+    SELECT Review_ID, CAST(CASE WHEN good > bad THEN 1 WHEN good < bad THEN 0 ELSE 0.5 END AS DOUBLE) AS polarity FROM counted""",
 )
 def _(t):
     return t.reviews.select(

@@ -99,10 +99,9 @@ SCORES = """scores AS (
            count(*) AS clauses FROM aspects GROUP BY ALL)"""
 SAMPLES = """samples AS (
     SELECT * FROM (
-        SELECT Product_ID, aspect, sentiment, clause, min(ordinal * 100000000 + place) AS at,
-               row_number() OVER (PARTITION BY Product_ID, aspect, sentiment
-                                  ORDER BY min(ordinal * 100000000 + place)) AS position
-        FROM aspects WHERE sentiment <> 0.5 GROUP BY ALL) WHERE position <= 5),
+        SELECT *, row_number() OVER (PARTITION BY Product_ID, aspect, sentiment ORDER BY first) AS position FROM (
+            SELECT Product_ID, aspect, sentiment, clause, min(ordinal * 100000000 + place) AS first
+            FROM aspects WHERE sentiment <> 0.5 GROUP BY Product_ID, aspect, sentiment, clause)) WHERE position <= 5),
     lists AS (
         SELECT Product_ID, aspect AS Aspect,
                coalesce(string_agg(CASE WHEN sentiment = 1 THEN clause END, ' | ' ORDER BY position), '') AS Pros,
