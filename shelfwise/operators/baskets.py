@@ -61,7 +61,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.02) -> DataFram
     least = max(1, math.ceil(min_support * n))
     frequent = frequent_items(baskets, least).select("Product_ID")
     kept = baskets.join(frequent, "Product_ID", "left_semi")
-    arrays = stage(basket_arrays(kept), "baskets")
+    arrays = stage(basket_arrays(kept), "baskets", even=True)
     # The support is relative to all transactions, also those left empty here.
     remaining = arrays.count()
     if remaining == 0:

@@ -126,7 +126,7 @@ def training_rows(dataset: DataFrame, key: str = "Product_ID", folds: int | None
     require_rows(dataset, 5)
     k = folds or fold_count(dataset.limit(5).count())
     rows = kfold(dataset.select(key, "target", *features).na.fill(0.0, features), key, k)
-    return stage(rows, "training").persist()
+    return stage(rows, "training", even=True).persist()
 
 
 def train_forecast(rows: DataFrame, params: BoostParams = BoostParams()) -> PipelineModel:

@@ -196,7 +196,7 @@ def segment_products(
     """Products with cluster, segment name and coordinates; scores; the model."""
     columns = feature_columns(products)
     filled = stage(with_features(products), "features")
-    vectors = stage(with_vector(filled, columns), "vectors").persist()
+    vectors = stage(with_vector(filled, columns), "vectors", even=True).persist()
     if ks is None:
         ks = candidate_ks(vectors.limit(10).count())
     scores, models = k_scores(vectors, ks, restarts, seed)

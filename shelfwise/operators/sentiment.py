@@ -224,7 +224,7 @@ def compare_classifiers(
     """
     polarity = text.cue_polarity(F.col("clean"), lexicon.POSITIVE_CUES, lexicon.NEGATIVE_CUES)
     prepared = with_terms(docs, chars=True).withColumn("polarity", polarity)
-    rows = stage(stratified_kfold(prepared, "key", k=folds), "folds").persist()
+    rows = stage(stratified_kfold(prepared, "key", k=folds), "folds", even=True)
     variants: dict[str, tuple[str, Callable[[DataFrame, str], Predict]]] = {
         "naive_bayes": ("word", _plain(NaiveBayes, "review_weight")),
         "random_forest": ("word", _plain(lambda: RandomForestClassifier(numTrees=trees, seed=42))),
@@ -247,8 +247,10 @@ def compare_classifiers(
                 VectorAssembler(inputCols=["word", "polarity"], outputCol="word_polarity"),
             ]
         )
-        seen = joined.transform(with_weights(train)).persist()
-        asked = joined.transform(held)
+        used = ["label", "word", "word_char", "word_polarity"]
+        weighted = joined.transform(with_weights(train))
+        seen = stage(weighted.select(*used, "weight", "review_weight"), "seen", even=True).persist()
+        asked = stage(joined.transform(held).select(*used), "asked")
         predicted.append(majority(train, held).select(F.lit("majority").alias("method"), "label", "prediction"))
         for name, (features, fit) in variants.items():
             scored = fit(seen, features)(asked)
@@ -279,10 +281,13 @@ def method_metrics(scored: DataFrame, method: str) -> DataFrame:
 
 def fit_sentiment(train: DataFrame, max_iter: int = 100) -> PipelineModel:
     """Three classes from the words of cleaned texts (``clean, label``)."""
-    terms = with_terms(train)
+    terms = stage(with_terms(train).select("terms", "label"), "terms", even=True)
     tfidf = fit_tfidf(terms)
+    rows = stage(tfidf.transform(terms).select("label", "tfidf"), "tfidf").persist()
     logistic = LogisticRegression(featuresCol="tfidf", family="multinomial", maxIter=max_iter, regParam=0.01)
-    return PipelineModel(stages=[*tfidf.stages, logistic.fit(tfidf.transform(terms))])
+    model = PipelineModel(stages=[*tfidf.stages, logistic.fit(rows)])
+    rows.unpersist()
+    return model
 
 
 def train_sentiment(
@@ -292,7 +297,7 @@ def train_sentiment(
 
     ``labeled``: ``key, clean, label``; ``synthetic``: ``text, label``.
     """
-    parts = stage(stratified_split(labeled, key), "split").persist()
+    parts = stage(stratified_split(labeled, key), "split")
     extra = synthetic.select(text.clean_text(F.col("text"), lexicon.SHORTHAND).alias("text"), "label")
     train = with_synthetic(
         parts.where(~F.col("is_test")).select(F.col("clean").alias("text"), "label"), extra

@@ -29,7 +29,7 @@ def catalogue(t):
 
 def vectors(t):
     filled = stage(segments.with_features(catalogue(t)), "features")
-    return stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors").persist()
+    return stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors", even=True).persist()
 
 
 SCALED = ["Discounted_Price", "Avg_Star_Rating", "Total_Reviews"]
@@ -99,11 +99,11 @@ DATASET = f"""dataset AS (
 @query(
     "forecast_dataset",
     V("products", "scored") + f", {DATASET} SELECT Product_ID, " + ", ".join(
-        f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in [*lexicon.FORECAST_FEATURES, "target"]
+        f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in [*lexicon.FORECAST_FEATURES, "target"]
     ) + " FROM dataset",
 )
 def _(t):
-    return rounded(dataset(t).select("Product_ID", *lexicon.FORECAST_FEATURES, "target"), 4)
+    return rounded(dataset(t).select("Product_ID", *lexicon.FORECAST_FEATURES, "target"))
 
 
 def training(t, folds=5):

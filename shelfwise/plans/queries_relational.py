@@ -276,7 +276,7 @@ def _(t):
 
     products = with_specs(t.spec_products)
     filled = stage(segments.with_features(products), "features")
-    vectors = stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors").persist()
+    vectors = stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors", even=True).persist()
     scores, _models = segments.k_scores(vectors, range(2, 5), restarts=2)
     return segments.best_k(scores)
 

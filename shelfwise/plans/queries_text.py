@@ -187,7 +187,7 @@ def _(t):
     return aspects.aspect_scores(raw_aspects(t))
 
 
-@query("aspect_pros_cons", RAW_ASPECTS + f", {sql.SAMPLES} SELECT * FROM lists")
+@query("aspect_pros_cons", RAW_ASPECTS + f", {sql.SAMPLES} SELECT Product_ID, Aspect, Pros, Cons FROM lists")
 def _(t):
     found = aspects.aspect_pros_cons(raw_aspects(t))
     return found.select("Product_ID", "Aspect", joined("Pros").alias("Pros"), joined("Cons").alias("Cons"))
@@ -216,8 +216,8 @@ def profile_coverage(t):
     SELECT Product_ID, Aspect, Score, CASE WHEN Score >= 0.6 THEN 'strength' WHEN Score < 0.45 THEN 'weakness' END AS verdict,
         CASE WHEN Score >= 0.6 THEN 'good' WHEN Score >= 0.4 THEN 'neutral' ELSE 'poor' END AS level,
         CASE WHEN Score * 100 >= 60 THEN 'green' WHEN Score * 100 >= 45 THEN 'yellow' ELSE 'red' END AS band,
-        CASE WHEN Score >= 0.6 THEN coalesce(nullif(string_split(Pros, ' | ')[1], ''), '{aspects.DEFAULT_PRAISE}')
-             WHEN Score < 0.45 THEN coalesce(nullif(string_split(Cons, ' | ')[1], ''), '{aspects.DEFAULT_COMPLAINT}') END AS quote
+        CASE WHEN Score >= 0.6 THEN coalesce(pro, '{aspects.DEFAULT_PRAISE}')
+             WHEN Score < 0.45 THEN coalesce(con, '{aspects.DEFAULT_COMPLAINT}') END AS quote
     FROM scores LEFT JOIN lists USING (Product_ID, Aspect)""",
 )
 def _(t):

@@ -105,7 +105,9 @@ SAMPLES = """samples AS (
     lists AS (
         SELECT Product_ID, aspect AS Aspect,
                coalesce(string_agg(CASE WHEN sentiment = 1 THEN clause END, ' | ' ORDER BY position), '') AS Pros,
-               coalesce(string_agg(CASE WHEN sentiment = 0 THEN clause END, ' | ' ORDER BY position), '') AS Cons
+               coalesce(string_agg(CASE WHEN sentiment = 0 THEN clause END, ' | ' ORDER BY position), '') AS Cons,
+               max(CASE WHEN sentiment = 1 AND position = 1 THEN clause END) AS pro,
+               max(CASE WHEN sentiment = 0 AND position = 1 THEN clause END) AS con
         FROM samples GROUP BY ALL)"""
 NAMES = """names AS (
     SELECT Product_ID, arg_min_null(Product_Name, ordinal) AS Product_Name FROM reviews GROUP BY ALL)"""

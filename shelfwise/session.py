@@ -45,12 +45,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/shelfwise/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", even: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later stages re-read columns from the table instead of recomputing the
-    plan, also when an executor is lost.
+    plan, also when an executor is lost.  ``even`` writes files of the advised
+    partition size, for tables that an iterative fit reads many times.
     """
     path = scratch_path(df.sparkSession, name)
+    if even:
+        df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
