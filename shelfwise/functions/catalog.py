@@ -28,17 +28,24 @@ def _number(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(text, pattern, group).try_cast("double")
 
 
-def extract_specs(name: Column, price: Column) -> Column:
+def spec_text(name: Column) -> Column:
+    return F.lower(F.coalesce(name.cast("string"), F.lit("nan")))
+
+
+def single_rom(text: Column) -> Column:
+    """Storage where the name states one size only; terabytes come first."""
+    return F.coalesce(
+        _number(text, TERABYTES, 1) * 1024, _number(text, GIGABYTES, 1), F.lit(DEFAULT_ROM)
+    )
+
+
+def extract_specs(text: Column, rom_alone: Column, price: Column) -> dict[str, Column]:
     """RAM, ROM, battery and camera as the product name implies them."""
-    text = F.lower(F.coalesce(name.cast("string"), F.lit("nan")))
     is_pair = text.rlike(PAIR)
     unit = F.when(F.regexp_extract(text, PAIR, 3).startswith("t"), 1024.0).otherwise(1.0)
-    single_rom = F.coalesce(
-        _number(text, TERABYTES, 1) * 1024, _number(text, GIGABYTES, 1), F.lit(DEFAULT_ROM)
-    )
     implied_ram = F.lit(LEAST_RAM)
     for floor, ram in reversed(RAM_BY_ROM):
-        implied_ram = F.when(single_rom >= floor, ram).otherwise(implied_ram)
+        implied_ram = F.when(rom_alone >= floor, ram).otherwise(implied_ram)
 
     iphone = text.contains("iphone")
     iphone_ram = (
@@ -52,7 +59,7 @@ def extract_specs(name: Column, price: Column) -> Column:
         .when(is_pair, _number(text, PAIR, 1))
         .otherwise(implied_ram)
     )
-    rom = F.when(is_pair, _number(text, PAIR, 2) * unit).otherwise(single_rom)
+    rom = F.when(is_pair, _number(text, PAIR, 2) * unit).otherwise(rom_alone)
     battery = (
         F.when(_has(text, "power", "neo"), 6000.0)
         .when(iphone & _has(text, "max", "plus"), 4400.0)
@@ -69,12 +76,9 @@ def extract_specs(name: Column, price: Column) -> Column:
     )
     basic = _has(text, *BASIC_PHONES)
     values = {"RAM": ram, "ROM": rom, "Battery": battery, "Camera_MP": camera}
-    return F.struct(
-        *[
-            F.when(basic, BASIC_SPECS[key]).otherwise(value).alias(key)
-            for key, value in values.items()
-        ]
-    )
+    return {
+        key: F.when(basic, BASIC_SPECS[key]).otherwise(value) for key, value in values.items()
+    }
 
 
 def calendar(date: Column, holidays: Iterable[str] = tuple(lexicon.HOLIDAYS)) -> dict[str, Column]:

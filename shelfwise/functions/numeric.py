@@ -16,33 +16,40 @@ def coerce_double(col: Column) -> Column:
     return F.when(~F.isnan(value) & ~col.cast("string").rlike(r"[0-9.][dDfF]$"), value)
 
 
-def parse_number(col: Column) -> Column:
-    """A number as shops write it: either decimal mark, words, k and m."""
-    text = F.lower(F.trim(col.cast("string")))
+def number_text(col: Column) -> Column:
+    return F.lower(F.trim(col.cast("string")))
+
+
+def number_body(text: Column) -> Column:
+    """Digits and marks only, with at most one minus in front."""
+    return F.regexp_replace(F.regexp_replace(text, r"[^0-9.,-]", ""), r"^-+", "-")
+
+
+def read_number(text: Column, body: Column) -> Column:
     scale = (
         F.when(text.rlike(MILLION_WORDS), 1_000_000.0)
         .when(text.rlike(THOUSAND_WORDS), 1_000.0)
         .otherwise(1.0)
     )
-    kept = F.regexp_replace(text, r"[^0-9.,-]", "")
-    sign = F.when(kept.startswith("-"), -1.0).otherwise(1.0)
-    body = F.regexp_replace(kept, r"^-+", "")
-
     has_dot, has_comma = body.contains("."), body.contains(",")
-    comma_is_decimal = F.length(F.substring_index(body, ",", -1)) < F.length(
-        F.substring_index(body, ".", -1)
-    )
-    grouped = body.rlike(r"[.,].*[.,]") | body.rlike(r"^..+[.,].{3}$")
+    comma_is_decimal = body.rlike(r",[^.]*$")
+    grouped = body.rlike(r"[.,].*[.,]|^-?[^-].+[.,].{3}$")
     plain = (
         F.when(
             has_dot & has_comma & comma_is_decimal,
             F.translate(F.translate(body, ".", ""), ",", "."),
         )
         .when(has_dot & has_comma, F.translate(body, ",", ""))
-        .when((has_dot | has_comma) & grouped, F.regexp_replace(body, "[.,]", ""))
+        .when(grouped, F.translate(body, ".,", ""))
         .otherwise(F.translate(body, ",", "."))
     )
-    return F.when(~text.isin(MISSING_WORDS), sign * plain.try_cast("double") * scale)
+    return F.when(~text.isin(MISSING_WORDS), plain.try_cast("double") * scale)
+
+
+def parse_number(col: Column) -> Column:
+    """A number as shops write it: either decimal mark, words, k and m."""
+    text = number_text(col)
+    return read_number(text, number_body(text))
 
 
 def digits(col: Column) -> Column:

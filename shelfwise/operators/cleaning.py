@@ -17,8 +17,18 @@ def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c.lower() in have]
 
 
-def with_parsed(df: DataFrame, columns: Sequence[str], parse=numeric.parse_number) -> DataFrame:
-    return df.withColumns({c: parse(F.col(c)) for c in present(df, columns)})
+def with_parsed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns as numbers, in steps, so that each pattern runs once a row."""
+    columns = present(df, columns)
+    texts, bodies = [[f"_{c}_{part}" for c in columns] for part in ("text", "body")]
+    return (
+        df.withColumns({t: numeric.number_text(F.col(c)) for t, c in zip(texts, columns)})
+        .withColumns({b: numeric.number_body(F.col(t)) for b, t in zip(bodies, texts)})
+        .withColumns(
+            {c: numeric.read_number(F.col(t), F.col(b)) for c, t, b in zip(columns, texts, bodies)}
+        )
+        .drop(*texts, *bodies)
+    )
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -41,14 +51,9 @@ def fill_unknown(df: DataFrame, word: str = "unknown") -> DataFrame:
 
 def normalize_units(df: DataFrame, unit_tokens: Sequence[str] = lexicon.UNIT_TOKENS) -> DataFrame:
     """Parse every column whose name holds a unit; numeric ones are numbers already."""
-    text_columns = {c for c, t in df.dtypes if t == "string"}
-    named = [c for c in df.columns if any(u in c.lower() for u in unit_tokens)]
-    return df.withColumns(
-        {
-            c: numeric.parse_number(F.col(c)) if c in text_columns else F.col(c).cast("double")
-            for c in named
-        }
-    )
+    named = [(c, t) for c, t in df.dtypes if any(u in c.lower() for u in unit_tokens)]
+    parsed = with_parsed(df, [c for c, t in named if t == "string"])
+    return parsed.withColumns({c: F.col(c).cast("double") for c, t in named if t != "string"})
 
 
 def with_discount_rate(df: DataFrame) -> DataFrame:
@@ -62,10 +67,10 @@ def with_discount_rate(df: DataFrame) -> DataFrame:
 
 def with_specs(df: DataFrame) -> DataFrame:
     price = F.col("Discounted_Price") if present(df, ["Discounted_Price"]) else F.lit(0.0)
-    specs = catalog.extract_specs(F.col("Name"), price)
-    return df.withColumns(
-        {c: specs.getField(c) for c in ["RAM", "ROM", "Battery", "Camera_MP"]}
-    )
+    named = df.withColumn("_name", catalog.spec_text(F.col("Name")))
+    with_rom = named.withColumn("_rom", catalog.single_rom(F.col("_name")))
+    specs = catalog.extract_specs(F.col("_name"), F.col("_rom"), price)
+    return with_rom.withColumns(specs).drop("_name", "_rom")
 
 
 def with_calendar(df: DataFrame, column: str = "Inward_Date") -> DataFrame:

@@ -34,9 +34,12 @@ def with_features(
     features: Sequence[str] = lexicon.SEGMENT_FEATURES,
     fill: str = "median",
 ) -> DataFrame:
-    """Numeric features without gaps: the median, or 0."""
+    """Numeric features without gaps: the median, or 0.
+
+    Staged before it is filled, as medians and scaling read it several times.
+    """
     columns = feature_columns(products, features)
-    coerced = products.withColumns({c: coerce_double(F.col(c)) for c in columns})
+    coerced = stage(products.withColumns({c: coerce_double(F.col(c)) for c in columns}), "features")
     if fill == "median":
         coerced = impute_median(coerced, columns)
     return coerced.na.fill(0.0, columns)
@@ -71,7 +74,7 @@ def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42)
     def fit(start: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + start, featuresCol="scaled", predictionCol="cluster_id", maxIter=100).fit(vectors)
 
-    with ThreadPoolExecutor(4) as pool:
+    with ThreadPoolExecutor(8) as pool:
         return min(pool.map(fit, range(restarts)), key=lambda m: m.summary.trainingCost)
 
 
@@ -177,7 +180,7 @@ def ensure_coordinates(products: DataFrame) -> DataFrame:
     if len(present(products, lexicon.SEGMENT_FEATURES)) < 2:
         return products.withColumns({"PC1": F.lit(0.0), "PC2": F.lit(0.0)})
     columns = feature_columns(products)
-    filled = stage(with_features(products), "features")
+    filled = with_features(products)
     return with_coordinates(with_vector(filled, columns)).drop("scaled")
 
 
@@ -186,7 +189,7 @@ def explore_coordinates(products: DataFrame, brand: str | None = None) -> DataFr
     if brand is not None:
         products = products.where(F.col("Brand") == brand)
     columns = feature_columns(products, lexicon.EXPLORE_FEATURES)
-    filled = stage(with_features(products, lexicon.EXPLORE_FEATURES, "zero"), "features")
+    filled = with_features(products, lexicon.EXPLORE_FEATURES, "zero")
     return with_coordinates(with_vector(filled, columns)).drop("scaled")
 
 
@@ -195,7 +198,7 @@ def segment_products(
 ) -> tuple[DataFrame, DataFrame, KMeansModel]:
     """Products with cluster, segment name and coordinates; scores; the model."""
     columns = feature_columns(products)
-    filled = stage(with_features(products), "features")
+    filled = with_features(products)
     vectors = stage(with_vector(filled, columns), "vectors", even=True).persist()
     if ks is None:
         ks = candidate_ks(vectors.limit(10).count())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
@@ -216,11 +217,12 @@ def majority(train: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def compare_classifiers(
-    docs: DataFrame, folds: int = 5, max_iter: int = 1000, trees: int = 200
+    docs: DataFrame, folds: int = 5, max_iter: int = 1000, trees: int = 200, parallelism: int = 8
 ) -> DataFrame:
     """Out-of-fold metrics of eight classifiers on the same folds.
 
-    ``docs``: ``key, clean, label (0/1), review_weight``.
+    ``docs``: ``key, clean, label (0/1), review_weight``.  The classifiers of
+    a fold are fitted side by side, as their jobs are short.
     """
     polarity = text.cue_polarity(F.col("clean"), lexicon.POSITIVE_CUES, lexicon.NEGATIVE_CUES)
     prepared = with_terms(docs, chars=True).withColumn("polarity", polarity)
@@ -252,9 +254,14 @@ def compare_classifiers(
         seen = stage(weighted.select(*used, "weight", "review_weight"), "seen", even=True).persist()
         asked = stage(joined.transform(held).select(*used), "asked")
         predicted.append(majority(train, held).select(F.lit("majority").alias("method"), "label", "prediction"))
-        for name, (features, fit) in variants.items():
+
+        def held_out(name: str) -> DataFrame:
+            features, fit = variants[name]
             scored = fit(seen, features)(asked)
-            predicted.append(scored.select(F.lit(name).alias("method"), "label", "prediction"))
+            return scored.select(F.lit(name).alias("method"), "label", "prediction")
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            predicted += pool.map(held_out, variants)
         seen.unpersist()
     every = stage(union_all(predicted), "predictions")
     return union_all([method_metrics(every, name) for name in ["majority", *variants]])

@@ -28,7 +28,7 @@ def catalogue(t):
 
 
 def vectors(t):
-    filled = stage(segments.with_features(catalogue(t)), "features")
+    filled = segments.with_features(catalogue(t))
     return stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors", even=True).persist()
 
 

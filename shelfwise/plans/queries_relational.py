@@ -275,7 +275,7 @@ def _(t):
     from shelfwise.session import stage
 
     products = with_specs(t.spec_products)
-    filled = stage(segments.with_features(products), "features")
+    filled = segments.with_features(products)
     vectors = stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors", even=True).persist()
     scores, _models = segments.k_scores(vectors, range(2, 5), restarts=2)
     return segments.best_k(scores)

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.operators.aspects import AspectLexicon
+from shelfwise.session import spread
 
 NAMES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -14,6 +15,8 @@ NAMES = [
     "conversations",
 ]
 
+TEXTS = ["documents", "pages", "conversations"]
+
 # Words frequent in the given texts, in the roles the defaults have.
 DICTIONARY = {"it": "the", "un": "une"}
 ASPECTS = AspectLexicon(
@@ -40,7 +43,8 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in NAMES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return spread(table) if name in TEXTS else table
         raise AttributeError(name)
 
     @cached_property
