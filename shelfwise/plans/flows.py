@@ -53,19 +53,26 @@ def label_reviews(
     segmenter: Segmenter | None = None,
     order: str = "ordinal",
 ) -> DataFrame:
-    """Three-class training table without blank, unlabelled or repeated texts."""
-    df = reviews.withColumns(
+    """Three-class training table without blank, unlabelled or repeated texts.
+
+    Repeats leave before the texts are segmented.  Whether a text is blank
+    travels with the row, so that the test does not clean every text again.
+    """
+    labeled = reviews.withColumn("label", catalog.label_three(F.col("Star_Rating"))).where(
+        F.col("label").isNotNull()
+    )
+    cleaned = labeled.withColumn(
+        "Review_Text_Clean",
+        text.clean_text(text.strip_support_note(F.col("Review_Text")), dictionary),
+    ).withColumn("_worded", ~text.is_blank(F.col("Review_Text_Clean")))
+    firsts = first_per_key(cleaned, ["Review_Text_Clean", "label"], F.col(order))
+    return _segmented(firsts.where("_worded").drop("_worded"), segmenter).withColumns(
         {
             "Review_Text_Raw": F.col("Review_Text"),
             "Review_Text_NoNoise": text.strip_support_note(F.col("Review_Text")),
-            "label": catalog.label_three(F.col("Star_Rating")),
+            "label_name": catalog.label_name(F.col("label")),
         }
-    ).where(F.col("label").isNotNull())
-    df = df.withColumn("label_name", catalog.label_name(F.col("label"))).withColumn(
-        "Review_Text_Clean", text.clean_text(F.col("Review_Text_NoNoise"), dictionary)
     )
-    df = cleaning.filter_nonblank(_segmented(df, segmenter), "Review_Text_Segmented")
-    return first_per_key(df, ["Review_Text_Clean", "label"], F.col(order))
 
 
 def aspect_report(
