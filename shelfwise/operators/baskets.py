@@ -32,12 +32,10 @@ def transaction_count(baskets: DataFrame) -> int:
     return baskets.agg(F.count_distinct("Transaction_ID")).first()[0]
 
 
-def frequent_items(baskets: DataFrame, least: int) -> DataFrame:
-    """Items bought in at least ``least`` transactions."""
+def frequent_items(sold: DataFrame, least: int) -> DataFrame:
+    """Items in at least ``least`` of the distinct (transaction, item) pairs."""
     return (
-        baskets.select("Transaction_ID", "Product_ID")
-        .distinct()
-        .groupBy("Product_ID")
+        sold.groupBy("Product_ID")
         .agg(F.count(F.lit(1)).alias("freq"))
         .where(F.col("freq") >= least)
     )
@@ -56,11 +54,12 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.02) -> DataFram
     at most as many items as are frequent, however many rows it has.
     """
     require_columns(baskets, ["Transaction_ID", "Product_ID"])
-    n = transaction_count(baskets)
+    sold = stage(baskets.select("Transaction_ID", "Product_ID").distinct(), "sold")
+    n = transaction_count(sold)
     schema = "items array<string>, freq bigint, support double"
     least = max(1, math.ceil(min_support * n))
-    frequent = frequent_items(baskets, least).select("Product_ID")
-    kept = baskets.join(frequent, "Product_ID", "left_semi")
+    frequent = frequent_items(sold, least).select("Product_ID")
+    kept = sold.join(frequent, "Product_ID", "left_semi")
     arrays = stage(basket_arrays(kept), "baskets", even=True)
     # The support is relative to all transactions, also those left empty here.
     remaining = arrays.count()

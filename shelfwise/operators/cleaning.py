@@ -37,7 +37,10 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if not columns:
         return df
     medians = scalar_struct(one_row(exact_medians(df, columns), columns))
-    return df.withColumns({c: F.coalesce(F.col(c), medians.getField(c)) for c in columns})
+    looked_up = df.withColumn("_medians", medians)
+    return looked_up.withColumns(
+        {c: F.coalesce(F.col(c), F.col("_medians")[c]) for c in columns}
+    ).drop("_medians")
 
 
 def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

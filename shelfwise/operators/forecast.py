@@ -40,7 +40,8 @@ def with_loo_mean(
     df = df.withColumn("_value", coerce_double(F.col(value)))
     if not present(df, [group]):
         return df.withColumn(name, df.agg(F.avg("_value")).scalar()).drop("_value")
-    totals = df.groupBy(group).agg(F.sum("_value").alias("_sum"), F.count("_value").alias("_n"))
+    sums = df.groupBy(group).agg(F.sum("_value").alias("_sum"), F.count("_value").alias("_n"))
+    totals = stage(sums, "group_totals")
     overall = totals.agg(F.sum("_sum") / F.sum("_n")).scalar()
     others = F.try_divide(F.col("_sum") - F.col("_value"), F.col("_n") - 1)
     return (
@@ -116,16 +117,17 @@ def boosted(params: BoostParams = BoostParams(), seed: int = 42) -> GBTRegressor
 
 
 def on_features(estimator: Estimator, features: Sequence[str] = lexicon.FORECAST_FEATURES) -> Pipeline:
-    """Features in order, then the estimator; rows with a gap are kept as NaN-free zeros."""
+    """The features as one vector in their order, then the estimator."""
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator])
 
 
 def training_rows(dataset: DataFrame, key: str = "Product_ID", folds: int | None = None) -> DataFrame:
     """Gap-free features, target and fold, staged once for all fits."""
     features = present(dataset, lexicon.FORECAST_FEATURES)
-    require_rows(dataset, 5)
-    k = folds or fold_count(dataset.limit(5).count())
-    rows = kfold(dataset.select(key, "target", *features).na.fill(0.0, features), key, k)
+    filled = stage(dataset.select(key, "target", *features).na.fill(0.0, features), "dataset")
+    require_rows(filled, 5)
+    k = folds or fold_count(filled.limit(5).count())
+    rows = kfold(filled, key, k)
     return stage(rows, "training", even=True).persist()
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.numeric import coerce_double
 from shelfwise.operators.cleaning import filter_valid_pricing, with_discount_rate
+from shelfwise.session import stage
 
 
 def valid_pricing(products: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def price_elasticity(
     large part of the rows costs one partial row per task.
     """
     rate, sales = F.col("Discount_Rate"), F.col("Sales_Volume")
-    fitted = (
+    fitted = stage(
         valid_pricing(products)
         .where(F.col("Brand").isNotNull())
         .groupBy("Brand")
@@ -39,7 +40,8 @@ def price_elasticity(
             F.when(F.var_pop(sales) == 0, 1.0)
             .otherwise(F.coalesce(F.regr_r2(sales, rate), F.lit(0.0)))
             .alias("r2"),
-        )
+        ),
+        "fitted",
     )
     total = fitted.agg(F.sum("Product_Count")).scalar()
     per_sale = F.col("beta") / F.col("sales")

@@ -55,10 +55,11 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
     )
 
     def scaled(c: str):
-        std = moments.getField(f"{c}_std")
-        return F.when(std == 0, 0.0).otherwise((F.col(c) - moments.getField(f"{c}_mean")) / std)
+        mean, std = F.col("_moments")[f"{c}_mean"], F.col("_moments")[f"{c}_std"]
+        return F.when(std == 0, 0.0).otherwise((F.col(c) - mean) / std)
 
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
+    looked_up = df.withColumn("_moments", moments)
+    return looked_up.withColumns({f"{c}{suffix}": scaled(c) for c in columns}).drop("_moments")
 
 
 def with_vector(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:

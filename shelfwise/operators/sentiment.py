@@ -155,7 +155,7 @@ def fit_tfidf(
 
 def class_weights(docs: DataFrame, label: str = "label") -> DataFrame:
     """``n / (classes * n_class)`` per class."""
-    counts = docs.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(docs.groupBy(label).agg(F.count(F.lit(1)).alias("n")), "classes")
     total = counts.agg(F.sum("n")).scalar()
     classes = counts.agg(F.count(F.lit(1))).scalar()
     return counts.withColumn("class_weight", total / (classes * F.col("n")))
@@ -225,8 +225,10 @@ def compare_classifiers(
     a fold are fitted side by side, as their jobs are short.
     """
     polarity = text.cue_polarity(F.col("clean"), lexicon.POSITIVE_CUES, lexicon.NEGATIVE_CUES)
-    prepared = with_terms(docs, chars=True).withColumn("polarity", polarity)
-    rows = stage(stratified_kfold(prepared, "key", k=folds), "folds", even=True)
+    # Folds are dealt on the stored texts; terms, many times longer, come after.
+    dealt = stratified_kfold(stage(docs, "texts"), "key", k=folds)
+    prepared = with_terms(dealt, chars=True).withColumn("polarity", polarity)
+    rows = stage(prepared, "folds", even=True)
     variants: dict[str, tuple[str, Callable[[DataFrame, str], Predict]]] = {
         "naive_bayes": ("word", _plain(NaiveBayes, "review_weight")),
         "random_forest": ("word", _plain(lambda: RandomForestClassifier(numTrees=trees, seed=42))),
@@ -249,10 +251,10 @@ def compare_classifiers(
                 VectorAssembler(inputCols=["word", "polarity"], outputCol="word_polarity"),
             ]
         )
-        used = ["label", "word", "word_char", "word_polarity"]
+        used = ["label", *map(unnamed, ["word", "word_char", "word_polarity"])]
         weighted = joined.transform(with_weights(train))
         seen = stage(weighted.select(*used, "weight", "review_weight"), "seen", even=True).persist()
-        asked = stage(joined.transform(held).select(*used), "asked")
+        asked = stage(joined.transform(held).select(*used), "asked", even=True)
         predicted.append(majority(train, held).select(F.lit("majority").alias("method"), "label", "prediction"))
 
         def held_out(name: str) -> DataFrame:
@@ -267,6 +269,11 @@ def compare_classifiers(
     return union_all([method_metrics(every, name) for name in ["majority", *variants]])
 
 
+def unnamed(vector: str) -> Column:
+    """The vector without a name per feature, which would burden every plan."""
+    return F.col(vector).alias(vector, metadata={})
+
+
 def method_metrics(scored: DataFrame, method: str) -> DataFrame:
     per_class = class_metrics(scored.where(F.col("method") == method))
 
@@ -304,7 +311,7 @@ def train_sentiment(
 
     ``labeled``: ``key, clean, label``; ``synthetic``: ``text, label``.
     """
-    parts = stage(stratified_split(labeled, key), "split")
+    parts = stage(stratified_split(stage(labeled, "labeled"), key), "split")
     extra = synthetic.select(text.clean_text(F.col("text"), lexicon.SHORTHAND).alias("text"), "label")
     train = with_synthetic(
         parts.where(~F.col("is_test")).select(F.col("clean").alias("text"), "label"), extra

@@ -586,8 +586,8 @@ def _(t):
     SELECT Product_ID, Brand, Price_Elasticity, Average_Sales_Volume FROM products JOIN elasticity USING (Brand)""",
 )
 def _(t):
-    products = t.products.select("Product_ID", "Brand")
-    return pricing.elasticity_of_products(products, pricing.price_elasticity(t.products))
+    products = t.stored_products
+    return pricing.elasticity_of_products(products.select("Product_ID", "Brand"), pricing.price_elasticity(products))
 
 
 # Scalar families ------------------------------------------------------------

@@ -42,7 +42,7 @@ SCALED = ["Discounted_Price", "Avg_Star_Rating", "Total_Reviews"]
     ) + " FROM products",
 )
 def _(t):
-    scaled = segments.standardize(t.products, SCALED)
+    scaled = segments.standardize(t.stored_products, SCALED)
     return rounded(scaled.select("Product_ID", *[f"{c}_z" for c in SCALED]))
 
 
@@ -84,7 +84,7 @@ def _(t):
 
 
 def dataset(t):
-    return forecast.forecast_dataset(with_discount_rate(t.products), t.scored)
+    return forecast.forecast_dataset(with_discount_rate(t.stored_products), t.scored)
 
 
 DATASET = f"""dataset AS (

@@ -10,15 +10,16 @@ from shelfwise.operators import baskets, customers, evaluate, folds, forecast, j
 from shelfwise.operators.cleaning import with_segment, with_specs
 from shelfwise.plans import sql
 from shelfwise.plans.registry import query, rounded
+from shelfwise.session import stage
 from shelfwise.sources.tables import ASPECTS, DICTIONARY, with_views
 
 V = with_views
 
 
 def dictionary(t):
-    """The dictionary as a table, with a row per language of the texts."""
-    pairs = F.create_map(*[F.lit(x) for kv in DICTIONARY.items() for x in kv])
-    return t.documents.select(F.explode(pairs).alias("token", "replacement")).distinct()
+    """The dictionary as a stored table."""
+    rows = list(DICTIONARY.items())
+    return stage(t.spark.createDataFrame(rows, "token string, replacement string"), "dictionary")
 
 
 # Joins ----------------------------------------------------------------------
@@ -272,8 +273,6 @@ def _(t):
 @query("best_k")
 def _(t):
     from shelfwise.operators import segments
-    from shelfwise.session import stage
-
     products = with_specs(t.spec_products)
     filled = segments.with_features(products)
     vectors = stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors", even=True).persist()

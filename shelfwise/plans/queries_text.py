@@ -10,7 +10,7 @@ from shelfwise.operators import aspects, folds, joins, phrases, profile, sentime
 from shelfwise.operators.cleaning import with_discount_rate
 from shelfwise.plans import flows, sql
 from shelfwise.plans.registry import joined, query, rounded
-from shelfwise.session import scratch_path
+from shelfwise.session import scratch_path, stage
 from shelfwise.sources import readers, writers
 from shelfwise.sources.tables import ASPECTS, DICTIONARY, with_views
 from shelfwise.streaming import ingest, scoring
@@ -329,7 +329,7 @@ def _(t):
     SELECT clean AS text, label, false AS is_synthetic FROM split WHERE train UNION ALL SELECT text, label, true FROM augmented""",
 )
 def _(t):
-    split = folds.stratified_split(labeled(t), "key")
+    split = folds.stratified_split(stage(labeled(t), "labeled"), "key")
     train = split.where(~F.col("is_test")).select(F.col("clean").alias("text"), "label")
     return sentiment.with_synthetic(train, sentences(t))
 
@@ -430,7 +430,7 @@ def _report_sql() -> str:
 )
 def _(t):
     scores = aspects.aspect_scores(raw_aspects(t))
-    return rounded(flows.statistics_report(t.products, t.reviews, scores), 2)
+    return rounded(flows.statistics_report(t.stored_products, t.reviews, scores), 2)
 
 
 # Streams --------------------------------------------------------------------

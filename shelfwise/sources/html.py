@@ -15,8 +15,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import catalog, numeric, text
 
+# Elements without content; classes and links of the crawled pages.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 
+LISTING = {
+    "card": "item", "link": "main-contain", "title": "product-title", "price": "price",
+    "price_box": "box-price", "rating_box": "rating_Compare", "vote": "vote-txt",
+}
+OLD_PRICE = ["price-old", "oldprice"]
+SOLD_WORDS = ["bán", "ban"]
+DEFAULT_DELIVERY = "standard"
+REVIEW = {
+    "node": "par", "content": "cmt-content", "words": "cmt-txt", "stars": "cmt-top-star",
+    "star": "iconcmt-starbuy", "support": "support", "useful": "click-useful",
+}
+OTHER_NODES = ["comment-item", "cmt-item"]
+USEFUL_LINK = "likeRating"
+USEFUL_CLASSES = "useful|huu-ich"
+USEFUL_WORDS = "hữu ích|huu ich"
+PAGE_LINK = r"ratingCmtList\(([0-9]+)\)"
+REVIEW_NOUN = r"(?:đánh|danh)\s*giá"
+
 
 class Node:
     """An element with its attributes, children and text pieces."""
@@ -121,22 +140,22 @@ def _text_of(node: Node | None) -> str:
 
 
 def _card(card: Node) -> dict[str, str] | None:
-    link = card.find(lambda n: n.tag == "a" and ("href" in n.attrs or "main-contain" in n.classes))
+    link = card.find(lambda n: n.tag == "a" and ("href" in n.attrs or LISTING["link"] in n.classes))
     if link is None or not link.attrs.get("href"):
         return None
-    rating = card.find(has_class("rating_Compare"))
-    stars = rating.find(inside(is_tag("b"), has_class("vote-txt"))) if rating else None
+    rating = card.find(has_class(LISTING["rating_box"]))
+    stars = rating.find(inside(is_tag("b"), has_class(LISTING["vote"]))) if rating else None
     sold = ""
     for span in rating.find_all(is_tag("span")) if rating else []:
         label = span.text()
-        if "bán" in label or "ban" in label.lower():
+        if any(word in label.lower() for word in SOLD_WORDS):
             sold = label
             break
     price = _text_of(
         card.find(
             any_of(
-                has_class("price"),
-                inside(is_tag("strong"), has_class("box-price")),
+                has_class(LISTING["price"]),
+                inside(is_tag("strong"), has_class(LISTING["price_box"])),
             )
         )
     )
@@ -145,23 +164,23 @@ def _card(card: Node) -> dict[str, str] | None:
     )
     return {
         "href": link.attrs["href"],
-        "name": _text_of(card.find(has_class("product-title", tag="p")))
+        "name": _text_of(card.find(has_class(LISTING["title"], tag="p")))
         or link.attrs.get("data-name", "")
         or _text_of(card.find(any_of(is_tag("h3", "h4"), has_class("name")))),
         "brand": link.attrs.get("data-brand", ""),
         "price": price,
         "old_price": _text_of(
-            card.find(any_of(has_class("price-old", "oldprice"), is_tag("strike")))
+            card.find(any_of(has_class(*OLD_PRICE), is_tag("strike")))
         )
         or price,
-        "delivery": _text_of(delivery) or "standard",
+        "delivery": _text_of(delivery) or DEFAULT_DELIVERY,
         "sold": sold,
         "rating": _text_of(stars),
     }
 
 
 def catalog_cards(html: str | None) -> list[dict[str, str]]:
-    cards = read_html(html).find_all(has_class("item", tag="li"))
+    cards = read_html(html).find_all(has_class(LISTING["card"], tag="li"))
     return [row for row in map(_card, cards) if row]
 
 
@@ -208,24 +227,24 @@ def parse_catalog(pages: DataFrame, base_url: str) -> DataFrame:
 
 def _review(node: Node) -> dict[str, str] | None:
     words = node.find(
-        inside(any_of(has_class("cmt-txt"), is_tag("p")), has_class("cmt-content")),
-        has_class("cmt-txt"),
+        inside(any_of(has_class(REVIEW["words"]), is_tag("p")), has_class(REVIEW["content"])),
+        has_class(REVIEW["words"]),
     )
-    stars = node.find(has_class("cmt-top-star"))
-    filled = len(stars.find_all(has_class("iconcmt-starbuy", tag="i"))) if stars else 0
+    stars = node.find(has_class(REVIEW["stars"]))
+    filled = len(stars.find_all(has_class(REVIEW["star"], tag="i"))) if stars else 0
     useful = node.find(
         any_of(
             lambda n: n.tag == "a"
-            and "likeRating" in n.attrs.get("href", "") + n.attrs.get("onclick", ""),
-            has_class("click-useful"),
-            lambda n: re.search("useful|huu-ich", n.attrs.get("class", "")) is not None,
+            and USEFUL_LINK in n.attrs.get("href", "") + n.attrs.get("onclick", ""),
+            has_class(REVIEW["useful"]),
+            lambda n: re.search(USEFUL_CLASSES, n.attrs.get("class", "")) is not None,
         ),
         lambda n: n.tag in ("a", "span")
-        and re.search("hữu ích|huu ich", n.text().lower()) is not None,
+        and re.search(USEFUL_WORDS, n.text().lower()) is not None,
     )
     review = {
         "words": _text_of(words),
-        "support": _text_of(node.find(has_class("support"))),
+        "support": _text_of(node.find(has_class(REVIEW["support"]))),
         "stars": str(filled) if 1 <= filled <= 5 else "",
         "useful": _text_of(useful),
         "link": f"{useful.attrs.get('href', '')} {useful.attrs.get('onclick', '')}"
@@ -237,8 +256,8 @@ def _review(node: Node) -> dict[str, str] | None:
 
 def review_nodes(html: str | None) -> list[dict[str, str]]:
     root = read_html(html)
-    nodes = root.find_all(has_class("par", tag="li")) or root.find_all(
-        has_class("comment-item", "cmt-item")
+    nodes = root.find_all(has_class(REVIEW["node"], tag="li")) or root.find_all(
+        has_class(*OTHER_NODES)
     )
     return [row for row in map(_review, nodes) if row]
 
@@ -291,14 +310,14 @@ def parse_reviews(pages: DataFrame, id_prefix: str = "review-", language: str =
     )
 
 
-def page_count(html, marker: str = r"ratingCmtList\(([0-9]+)\)"):
+def page_count(html, marker: str = PAGE_LINK):
     """Highest page number among the pagination links, else 1."""
     found = F.regexp_extract_all(html, F.lit(marker), 1)
     numbers = F.transform(found, lambda n: n.try_cast("int"))
     return F.coalesce(F.array_max(numbers), F.lit(1))
 
 
-def review_total(words, noun: str = r"(?:đánh|danh)\s*giá"):
+def review_total(words, noun: str = REVIEW_NOUN):
     """Stated number of reviews, with ``k`` for thousands; NULL if none."""
     pattern = rf"([0-9.,]+)\s*(k)?\s*{noun}"
     lowered = F.lower(words)
