@@ -67,11 +67,13 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.02) -> DataFram
         return baskets.sparkSession.createDataFrame([], schema)
     # Half a row below the bound, so rounding up lands on the bound itself.
     miner = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / remaining)
-    found = miner.fit(arrays).freqItemsets
-    return (
-        found.where(F.col("freq") >= least)
-        .select(F.array_sort("items").alias("items"), "freq")
-        .withColumn("support", F.col("freq") / F.lit(float(n)))
+    found = miner.fit(arrays).freqItemsets.where(F.col("freq") >= least)
+    # Stored, as rules look up every part of an itemset in this table again.
+    return stage(
+        found.select(F.array_sort("items").alias("items"), "freq").withColumn(
+            "support", F.col("freq") / F.lit(float(n))
+        ),
+        "itemsets",
     )
 
 
