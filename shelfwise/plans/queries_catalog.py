@@ -69,7 +69,7 @@ def _(t):
 
 @query(
     "sink_append",
-    "SELECT p_brand, 2 * count(*) AS n, 2 * sum(p_size) AS size FROM part GROUP BY p_brand",
+    "SELECT p_brand, 2 * count(*) AS n, CAST(2 * sum(p_size) AS BIGINT) AS size FROM part GROUP BY p_brand",
 )
 def _(t):
     path = scratch_path(t.spark, "appended")
@@ -643,7 +643,7 @@ def _(t):
 
 @query(
     "fn_maps",
-    """SELECT key, sum(value) AS total FROM (
+    """SELECT key, CAST(sum(value) AS BIGINT) AS total FROM (
          SELECT unnest(['size', 'price']) AS key, unnest([p_size, CAST(round(p_retailprice) AS INT)]) AS value FROM part)
        GROUP BY key""",
 )

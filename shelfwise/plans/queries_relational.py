@@ -86,7 +86,7 @@ STORED_SQL = f"stored AS (SELECT DISTINCT '/' || unnest({sql.words_sql('lower(te
 @query(
     "anti_join_seen",
     f"""WITH {LINKS_SQL}, {STORED_SQL}
-    SELECT Product_URL, min(page_id * 1000 + position) // 1000 AS page_id, min(page_id * 1000 + position) % 1000 AS position
+    SELECT Product_URL, min(page_id * 1000 + position) // 1000 AS page_id, CAST(min(page_id * 1000 + position) % 1000 AS INT) AS position
     FROM links WHERE Product_URL NOT IN (SELECT Product_URL FROM stored) GROUP BY Product_URL""",
 )
 def _(t):
@@ -358,9 +358,9 @@ RFM_SQL = """, base AS (
     SELECT User_ID, email, max(CAST(order_date AS DATE)) AS last, count(*) AS frequency, sum(amount) AS monetary
     FROM customers JOIN customer_orders USING (User_ID) GROUP BY 1, 2),
     aged AS (SELECT *, (SELECT max(last) FROM base) - last AS recency FROM base)
-    SELECT User_ID, email, recency, frequency, round(monetary, 2) AS monetary,
-           ntile(5) OVER (ORDER BY recency DESC, User_ID) * 100 + ntile(5) OVER (ORDER BY frequency, User_ID) * 10
-             + ntile(5) OVER (ORDER BY round(monetary, 2), User_ID) AS rfm_segment,
+    SELECT User_ID, email, CAST(recency AS INT) AS recency, frequency, round(monetary, 2) AS monetary,
+           CAST(ntile(5) OVER (ORDER BY recency DESC, User_ID) * 100 + ntile(5) OVER (ORDER BY frequency, User_ID) * 10
+             + ntile(5) OVER (ORDER BY round(monetary, 2), User_ID) AS INT) AS rfm_segment,
            round(recency / (SELECT max(recency) FROM aged), 6) AS churn_probability FROM aged"""
 
 
@@ -395,7 +395,7 @@ def _(t):
 
 @query(
     "limit_per_category",
-    f"""WITH {LINKS_SQL} SELECT Category, page_id, position, Product_URL FROM (
+    f"""WITH {LINKS_SQL} SELECT Category, page_id, CAST(position AS INT) AS position, Product_URL FROM (
         SELECT *, row_number() OVER (PARTITION BY Category ORDER BY page_id, position) AS rn FROM links) WHERE rn <= 40""",
 )
 def _(t):
@@ -499,7 +499,7 @@ def _(t):
     return profile.top_values(words, "token", 20)
 
 
-@query("union_sources", V("reviews") + MERGE_SQL + " SELECT source, count(*) AS n, sum(ordinal) AS total FROM merged GROUP BY source")
+@query("union_sources", V("reviews") + MERGE_SQL + " SELECT source, count(*) AS n, CAST(sum(ordinal) AS BIGINT) AS total FROM merged GROUP BY source")
 def _(t):
     tagged = [s.withColumn("source", F.lit(i)) for i, s in enumerate(review_sources(t))]
     return profile.union_all(tagged).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("ordinal").alias("total"))
