@@ -50,7 +50,11 @@ def write_json(documents: DataFrame, path: str) -> None:
 
 
 def append_forecast_runs(forecast: DataFrame, path: str, created_at: str) -> None:
-    """Log of forecast runs, partitioned by the predicted date."""
+    """Log of forecast runs, partitioned by the predicted date.
+
+    Rows are gathered by date into files of the advised size; a date with many
+    rows is split over several tasks.
+    """
     (
         forecast.select(
             F.col("product_id").alias("productId"),
@@ -59,7 +63,7 @@ def append_forecast_runs(forecast: DataFrame, path: str, created_at: str) -> Non
             "trend",
             F.lit(created_at).cast("timestamp").alias("createdAt"),
         )
-        .repartition("predictedDate")
+        .hint("rebalance", F.col("predictedDate"))
         .write.mode("append")
         .partitionBy("predictedDate")
         .parquet(path)

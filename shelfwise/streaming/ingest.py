@@ -15,18 +15,20 @@ def ingest_new(
     """Append the first row of every key the sink does not hold yet.
 
     A batch writes its own folder and overwrites it when run again, so a
-    restart neither repeats nor loses rows.  Only the key column of earlier
-    folders is read back.
+    restart neither repeats nor loses rows; the folder carries the id that the
+    checkpoint gave the query, so a new checkpoint adds to an old sink.  Only
+    the key column of the other folders is read back.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         fresh = first_per_key(batch, [key], F.col(order))
-        if batch_id > 0 and path_exists(spark, sink):
-            stored = spark.read.option("basePath", sink).parquet(sink)
-            seen = stored.where(F.col("batch") < batch_id).select(key)
-            fresh = fresh.join(seen, key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        if path_exists(spark, sink):
+            own = (F.col("query") == query) & (F.col("batch") >= batch_id)
+            seen = spark.read.schema(f"{batch.select(key).schema.toDDL()}, query string, batch long")
+            fresh = fresh.join(seen.parquet(sink).where(~own).select(key), key, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{sink}/query={query}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -52,4 +54,4 @@ def ingest_within(
 
 
 def stored_rows(spark, sink: str) -> DataFrame:
-    return spark.read.parquet(sink).drop("batch")
+    return spark.read.parquet(sink).drop("query", "batch")

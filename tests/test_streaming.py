@@ -21,6 +21,8 @@ def test_each_key_once_over_batches_and_restarts(spark, tmp_path):
         return sorted((r.url, r.n) for r in ingest.stored_rows(spark, sink).collect())
 
     assert run() == [("a", 0), ("b", 2)]
+    log = str(tmp_path / "other")
+    assert run() == [("a", 0), ("b", 2)]  # a lost checkpoint repeats nothing
     write(spark, source, [("b", day, 3), ("c", day, 4)])
     write(spark, source, [("c", day, 5), ("a", day, 6)])
     assert run() == [("a", 0), ("b", 2), ("c", 4)] or run() == [("a", 0), ("b", 2), ("c", 5)]
