@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.common import hex_digest
+from shelfwise.llm.simhash_dedup import simhash_dedup
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
 
@@ -23,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup(table(spark, folder, "documents"))
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup(table(spark, folder, "documents"))
