@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.common import hex_digest
+from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.simhash_dedup import simhash_dedup
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
@@ -41,3 +42,12 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", hex_digest("kept").alias("kept_sha256"))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        hex_digest(F.array_join("items", ",")).alias("items_sha256"), "contaminated",
+    )
