@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.common import hex_digest
 from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.simhash_dedup import simhash_dedup
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
@@ -51,3 +52,8 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         hex_digest(F.array_join("items", ",")).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))
