@@ -253,7 +253,7 @@ class Model:
 
     def answer(self, table: pa.Table, top: Top) -> pa.Table:
         keys, counts, group, sizes = self.merged(table)
-        found = (counts if self.is_words(table) else log10_chances(keys, counts, self.depth, top))[group].astype(np.float64)
+        found = counts[group] if self.is_words(table) else log10_chances(keys, counts, self.depth, top).astype(np.float32)[group]
         ends = np.cumsum(sizes)
         packed = [found[e - n : e].tobytes() for e, n in zip(ends, sizes)]
         return pa.table([table.column("block"), table.column("bucket"), pa.array(packed, pa.binary())], names=["block", "bucket", "payload"])
@@ -262,7 +262,7 @@ class Model:
         edges, out = exchange.cuts(keys, self.bits, width), np.zeros(len(keys))
         for bucket, payload in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist()):
             if 0 <= bucket - first < 1 << self.bits:
-                out[edges[bucket - first] : edges[bucket - first + 1]] = np.frombuffer(payload, np.float64)
+                out[edges[bucket - first] : edges[bucket - first + 1]] = np.frombuffer(payload, np.float32 if first else np.int64)
         return out
 
     def score(self, table: pa.Table, answers: pa.Table, totals: tuple[int, int, int]) -> pa.Table:
@@ -291,7 +291,7 @@ def held_out(table: pa.Table) -> np.ndarray:
 
 
 def score_texts(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 4, folds: int = 7, fold: int = 2,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, folds: int = 7, fold: int = 2,
     block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """The model's log10 probability of every text, after learning from all texts but one fold.
@@ -303,7 +303,7 @@ def score_texts(
 
     One row for each input row, repeated rows included: ``id_col``, ``held_out``, ``n_tokens``,
     ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``n_bytes`` (scored, with the end) and
-    ``bits_per_byte``.  Without any training text all chances are even.  Other columns are not read.
+    ``bits_per_byte``; single chances travel as 32-bit floats.  Without any training text all chances are even.  Other columns are not read.
     """
     if depth < 2:
         raise ValueError("the depth is 2 at least")
