@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfwise.llm.ann_search import ann_search
 from shelfwise.llm.common import hex_digest
 from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.lm_scoring import score_texts
@@ -26,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_ann_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ann_search(table(spark, folder, "embeddings"))
+
+
 @query
 def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup(table(spark, folder, "documents"))
