@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise.llm.ann_search import ann_search
 from shelfwise.llm.common import hex_digest
 from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.licenses import license_scan, license_sql
 from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.simhash_dedup import simhash_dedup
 from shelfwise.llm.substring_dedup import substring_dedup
@@ -37,6 +38,14 @@ def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup(table(spark, folder, "documents"))
 
 
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents")).withColumn("notices", F.array_join("notices", ","))
+
+
+ORACLES["op3_license_scan"] = license_sql()
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup(table(spark, folder, "documents"))
