@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise.llm.ann_search import ann_search
 from shelfwise.llm.common import hex_digest
 from shelfwise.llm.decontaminate import decontaminate
+from shelfwise.llm.html_extract import extract_text, labelled_pages, seed_pages, train_chain
 from shelfwise.llm.licenses import license_scan, license_sql
 from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.simhash_dedup import simhash_dedup
@@ -72,3 +73,9 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
+
+
+@query
+def op9_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return extract_text(pages, train_chain(seed_pages() + labelled_pages(pages, table(spark, folder, "documents"))))
