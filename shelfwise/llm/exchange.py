@@ -23,19 +23,33 @@ _REPLY = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("bits", pa.b
 
 def planes(values: np.ndarray) -> bytes:
     """64-bit values byte by byte of rank, so that empty leading bytes compress."""
-    return values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return pa.compress(values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+def from_planes(data: bytes, size: int) -> np.ndarray:
+    raw = pa.decompress(data, 8 * size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
     return planes(np.diff(keys, prepend=np.uint64(0)))
 
 
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(data), dtype=np.uint64)
+def unpack_sorted(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(from_planes(data, size), dtype=np.uint64)
+
+
+def sorting(keys: np.ndarray) -> np.ndarray:
+    """The stable order of 64-bit keys.
+
+    Sorts the leading bits with the places behind them, which is much faster than an argsort; keys
+    that differ in the last bits alone are rare, and send it back to that.
+    """
+    places = max(1, len(keys) - 1).bit_length()
+    low = np.uint64((1 << places) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = keys[order]
+    return order if (ordered[1:] >= ordered[:-1]).all() else np.argsort(keys, kind="stable")
 
 
 def bucket_bits(total_bytes: int, bucket_bytes: int) -> int:
@@ -48,15 +62,18 @@ def cuts(keys: np.ndarray, bits: int, width: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def requests(block: int, keys: np.ndarray, vals: np.ndarray | None, bits: int, width: int) -> pa.Table:
-    """Rows for the distinct sorted keys of a block; ``vals`` is one 64-bit value a key."""
+def requests(block: int, keys: np.ndarray, vals: np.ndarray | None, bits: int, width: int, base: int = 0) -> pa.Table:
+    """Rows for the distinct sorted keys of a block; ``vals`` is one 64-bit value a key.
+
+    Keys of several kinds take buckets from another ``base`` each.
+    """
     edges = cuts(keys, bits, width)
     full = np.flatnonzero(np.diff(edges))
     spans = [(edges[b], edges[b + 1]) for b in full]
     return pa.table(
         [
             pa.array([block] * len(full), pa.int64()),
-            pa.array(full.astype(np.int32)),
+            pa.array((full + base).astype(np.int32)),
             pa.array([e - s for s, e in spans], pa.int32()),
             pa.array([pack_sorted(keys[s:e]) for s, e in spans], pa.binary()),
             pa.array([b"" if vals is None else planes(vals[s:e]) for s, e in spans], pa.binary()),
@@ -67,9 +84,10 @@ def requests(block: int, keys: np.ndarray, vals: np.ndarray | None, bits: int, w
 
 def gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Keys, values and row sizes of a bucket."""
-    keys = np.concatenate([unpack_sorted(x) for x in table.column("keys").to_pylist()])
-    vals = table.column("vals").to_pylist()
-    return keys, np.concatenate([from_planes(x) for x in vals]) if any(vals) else None, table.column("size").to_numpy()
+    sizes = table.column("size").to_numpy()
+    keys, vals = table.column("keys").to_pylist(), table.column("vals").to_pylist()
+    values = np.concatenate([from_planes(x, n) for x, n in zip(vals, sizes.tolist())]) if any(vals) else None
+    return np.concatenate([unpack_sorted(x, n) for x, n in zip(keys, sizes.tolist())]), values, sizes
 
 
 def replies(table: pa.Table, flags: np.ndarray, sizes: np.ndarray) -> pa.Table:
@@ -81,7 +99,7 @@ def replies(table: pa.Table, flags: np.ndarray, sizes: np.ndarray) -> pa.Table:
 def elsewhere(table: pa.Table) -> pa.Table:
     """A bit for each key that another block sent as well."""
     keys, _, sizes = gathered(table)
-    order = np.argsort(keys, kind="stable")
+    order = sorting(keys)
     ordered = keys[order]
     same = ordered[1:] == ordered[:-1]
     flags = np.zeros(len(keys), bool)
@@ -92,22 +110,22 @@ def elsewhere(table: pa.Table) -> pa.Table:
 def smaller_elsewhere(table: pa.Table) -> pa.Table:
     """A bit for each key that came with a smaller value from another block."""
     keys, vals, sizes = gathered(table)
-    vals = vals.view(np.int64)
-    order = np.lexsort((vals, keys))
-    ordered, least = keys[order], vals[order]
+    order = sorting(keys)
+    ordered, own = keys[order], vals.view(np.int64)[order]
     begins = np.insert(ordered[1:] != ordered[:-1], 0, True)
-    first = least[begins][np.cumsum(begins) - 1]
+    least = np.minimum.reduceat(own, np.flatnonzero(begins))[np.cumsum(begins) - 1]
     flags = np.zeros(len(keys), bool)
-    flags[order] = least > first
+    flags[order] = own > least
     return replies(table, flags, sizes)
 
 
-def flags_of(answers: pa.Table, keys: np.ndarray, bits: int, width: int) -> np.ndarray:
+def flags_of(answers: pa.Table, keys: np.ndarray, bits: int, width: int, base: int = 0) -> np.ndarray:
     """The answers to a block, in the order of its sorted keys."""
     edges, flags = cuts(keys, bits, width), np.zeros(len(keys), bool)
     for bucket, packed in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist()):
-        s, e = edges[bucket], edges[bucket + 1]
-        flags[s:e] = np.unpackbits(np.frombuffer(packed, np.uint8), count=e - s)
+        if 0 <= bucket - base < 1 << bits:
+            s, e = edges[bucket - base], edges[bucket - base + 1]
+            flags[s:e] = np.unpackbits(np.frombuffer(packed, np.uint8), count=e - s)
     return flags
 
 

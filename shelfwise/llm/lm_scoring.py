@@ -186,7 +186,7 @@ class Model:
         data = LOWER[data]
         begins, ends, starts = word_spans(data, offsets)
         codes = word_codes(data, begins, ends)
-        line, cuts = cut_words(data, offsets, np.ones(len(begins), bool), Units(np.zeros(0), codes, starts))
+        line, cuts = cut_words(data, offsets, np.ones(len(begins), bool), Units(np.zeros(0), codes, starts, codes))
         sizes, pad = np.diff(cuts), self.depth
         stream = np.full(len(line) + len(sizes) * (pad + 1), EDGE, np.uint8)
         shift = np.repeat(np.arange(len(sizes)) * (pad + 1) + pad, sizes)
@@ -218,9 +218,8 @@ class Model:
         words, seen, _ = self.counted(codes, starts, train)
         asked = exchange.requests(block, words, seen.astype(np.uint64), self.bits, 64)
         grams, counts, _ = self.counted(strings, ends, train)
-        more = exchange.requests(block, grams, counts.astype(np.uint64), self.bits, self.width)
-        other = pa.compute.add(more.column("bucket"), pa.scalar(1 << self.bits, pa.int32()))
-        return pa.concat_tables([asked, more.set_column(1, "bucket", other)])
+        more = exchange.requests(block, grams, counts.astype(np.uint64), self.bits, self.width, 1 << self.bits)
+        return pa.concat_tables([asked, more])
 
     def is_words(self, table: pa.Table) -> bool:
         return table.column("bucket")[0].as_py() < 1 << self.bits

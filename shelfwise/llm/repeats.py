@@ -5,7 +5,8 @@ two positions some shift below ``v`` brings both onto sampled ones.  So equal wi
 hold an equal aligned anchor of ``n - v + 1`` units at the same shift in both.
 
 1. Every block of documents names its anchors (fingerprints of the sampled positions' windows) and
-   asks which of the names occur in another block.
+   asks which of the names occur in another block, and which whole texts have a smaller id.  Those
+   copies are cut whole and hold no string that the first of them has not.
 2. Only windows that reach over an anchor known elsewhere are looked at whole: their fingerprints
    go with the smallest id of the block, one bucket of fingerprints at a time being sorted.
 3. Documents mark the units that a window with a smaller id elsewhere covers.
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm import exchange
@@ -78,6 +80,7 @@ class Units:
     ids: np.ndarray
     codes: np.ndarray
     starts: np.ndarray  # of each document, and the end
+    prints: np.ndarray  # two fingerprints of each whole text
 
     @property
     def sizes(self) -> np.ndarray:
@@ -87,8 +90,8 @@ class Units:
         return np.repeat(np.arange(len(self.ids)), self.sizes)
 
 
-def byte_units(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> Units:
-    return Units(ids, BYTE_CODE[data], offsets)
+def byte_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return BYTE_CODE[data], offsets
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,14 +121,14 @@ def word_codes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(np.add.reduceat(parts, firsts))
 
 
-def word_units(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> Units:
+def word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begins, ends, starts = word_spans(data, offsets)
-    return Units(ids, word_codes(data, begins, ends), starts)
+    return word_codes(data, begins, ends), starts
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct sorted keys, the group of each key, and the first place of each group."""
-    order = np.argsort(keys, kind="stable")
+    order = exchange.sorting(keys)
     ordered = keys[order]
     begins = np.ones(len(keys), bool)
     begins[1:] = ordered[1:] != ordered[:-1]
@@ -147,36 +150,59 @@ class Search:
         """The block's rows by id, and their units."""
         table = table.sort_by([("id", "ascending")])
         data, offsets = bytes_of(table.column("text"))
-        return table, self.units(data, offsets, ids_of(table))
+        codes, starts = self.units(data, offsets)
+        texts = [memoryview(data)[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        prints = np.array([xxhash.xxh64_intdigest(t, seed) for seed in (1, 2) for t in texts], np.uint64)
+        return table, Units(ids_of(table), codes, starts, prints)
 
     def anchors(self, units: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sampled positions; their distinct names, the name of each, and whether the block has it twice."""
-        length = self.window - self.period + 1
-        place = np.arange(len(units.codes)) - np.repeat(units.starts[:-1], units.sizes)
-        sampled = np.zeros(self.period, bool)
-        sampled[list(COVERS[self.period])] = True
-        whole = np.repeat(units.sizes, units.sizes)
-        at = np.flatnonzero(sampled[place % self.period] & (place + length <= whole) & (whole >= self.window))
-        names = window_prints(units.codes, length, at) >> np.uint64(64 - ANCHOR_WIDTH)
-        keys, group, first = grouped(names)
-        holder = np.searchsorted(units.starts, at, side="right") - 1
+        at, holder = self.sampled(units)
+        keys, group, first = grouped(self.names(units, at))
         twice = np.zeros(len(keys), bool)
         twice[group[units.ids[holder] != units.ids[holder[first]][group]]] = True
         return at, keys, group, twice
 
-    def candidates(self, units: Units, answers: pa.Table) -> np.ndarray:
-        """Starts of windows with an anchor that another document has."""
+    def sampled(self, units: Units) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the cover that begin an anchor, and their documents."""
+        length, cover = self.window - self.period + 1, np.array(COVERS[self.period])
+        last = units.sizes - length  # an anchor may begin at
+        rounds = np.where(units.sizes >= self.window, last // self.period + 1, 0)
+        each = np.repeat(np.arange(len(rounds)), rounds)
+        turn = np.arange(len(each)) - np.repeat(np.cumsum(rounds) - rounds, rounds)
+        place = (turn * self.period)[:, None] + cover[None, :]
+        inside = (place <= last[each][:, None]).ravel()
+        holder = np.repeat(each, len(cover))[inside]
+        return place.ravel()[inside] + units.starts[holder], holder
+
+    def names(self, units: Units, at: np.ndarray) -> np.ndarray:
+        return window_prints(units.codes, self.window - self.period + 1, at) >> np.uint64(64 - ANCHOR_WIDTH)
+
+    def copies(self, units: Units, answers: pa.Table) -> np.ndarray:
+        """Documents whose whole text a smaller id has."""
+        keys, group, first = grouped(units.prints)
+        ids = np.tile(units.ids, 2)
+        later = exchange.flags_of(answers, keys, self.bits, 64, 1 << self.bits)[group] | (ids > ids[first][group])
+        return later.reshape(2, -1).all(axis=0)
+
+    def candidates(self, units: Units, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of windows with an anchor that another document has, but in whole copies; and these."""
         at, keys, group, twice = self.anchors(units)
         known = twice | exchange.flags_of(answers, keys, self.bits, ANCHOR_WIDTH)
-        at = at[known[group]]
+        at, copies = at[known[group]], self.copies(units, answers)
+        holder = np.searchsorted(units.starts, at, side="right") - 1
+        at, holder = at[~copies[holder]], holder[~copies[holder]]
+        return self.around(units, at, holder), copies
+
+    def around(self, units: Units, at: np.ndarray, holder: np.ndarray) -> np.ndarray:
+        """Starts of whole windows that reach over an anchor."""
         if not len(at):
             return at
-        holder = np.searchsorted(units.starts, at, side="right") - 1
-        change = np.bincount(np.maximum(at - self.period + 1, units.starts[holder]), minlength=len(units.codes) + 1)
-        change = change - np.bincount(at + 1, minlength=len(units.codes) + 1)
-        open_ = np.cumsum(change)[:-1] > 0
-        fits = np.arange(len(units.codes)) + self.window <= np.repeat(units.starts[1:], units.sizes)
-        return np.flatnonzero(open_ & fits)
+        begins = np.maximum(at - self.period + 1, units.starts[holder])
+        ends = np.minimum(at + 1, units.starts[holder + 1] - self.window + 1)
+        begins = np.maximum(begins, np.insert(np.maximum.accumulate(ends)[:-1], 0, 0))  # what is listed already
+        sizes = np.maximum(ends - begins, 0)
+        return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
     def whole_windows(self, units: Units, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct fingerprints of the windows, each one's group, its smallest id, and the window's id."""
@@ -187,21 +213,31 @@ class Search:
     def send_anchors(self, table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         _, units = self.block(table)
-        return exchange.requests(block, self.anchors(units)[1], None, self.bits, ANCHOR_WIDTH)
+        names = np.sort(self.names(units, self.sampled(units)[0]))
+        names = names[np.insert(names[1:] != names[:-1], 0, True)] if len(names) else names
+        asked = exchange.requests(block, names, None, self.bits, ANCHOR_WIDTH)
+        keys, _, first = grouped(units.prints)
+        texts = exchange.requests(block, keys, np.tile(units.ids, 2)[first].view(np.uint64), self.bits, 64, 1 << self.bits)
+        return pa.concat_tables([asked, texts])
+
+    def known(self, table: pa.Table) -> pa.Table:
+        """A bucket's answers: whether another block has the anchor, or a smaller id the text."""
+        texts = table.column("bucket")[0].as_py() >> self.bits
+        return exchange.smaller_elsewhere(table) if texts else exchange.elsewhere(table)
 
     def send_windows(self, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(table):
             return exchange._REQUEST.empty_table()
         block = table.column("block")[0].as_py()
         _, units = self.block(table)
-        keys, _, least, _ = self.whole_windows(units, self.candidates(units, answers))
+        keys, _, least, _ = self.whole_windows(units, self.candidates(units, answers)[0])
         return exchange.requests(block, keys, least.view(np.uint64), self.bits, 64)
 
     def covered(self, table: pa.Table, answers: pa.Table) -> tuple[pa.Table, Units, np.ndarray]:
         """The block's rows by id, their units, and the units that are repeats."""
         table, units = self.block(table)
         is_anchor = answers.column("kind").to_numpy(zero_copy_only=False) == 1
-        at = self.candidates(units, answers.filter(pa.array(is_anchor)))
+        at, copies = self.candidates(units, answers.filter(pa.array(is_anchor)))
         keys, group, least, ids = self.whole_windows(units, at)
         seen = exchange.flags_of(answers.filter(pa.array(~is_anchor)), keys, self.bits, 64)
         at = at[seen[group] | (ids > least[group])]
@@ -209,7 +245,8 @@ class Search:
         if len(at):
             change += np.bincount(at, minlength=len(change))
             change -= np.bincount(at + self.window, minlength=len(change))
-        return table, units, np.cumsum(change)[:-1] > 0
+        whole = np.repeat(copies & (units.sizes >= self.window), units.sizes)
+        return table, units, whole | (np.cumsum(change)[:-1] > 0)
 
 
 def spans_of(covered: np.ndarray, units: Units) -> tuple[pa.Array, np.ndarray]:
@@ -239,7 +276,7 @@ def remove_repeats(
     blocks, count = in_blocks(texts, block_bytes)
     search = Search(units, window, period, max(0, (count - 1).bit_length()))
     narrow = blocks.select("block", "id", "text")
-    known = staged(exchange.ask(narrow.groupBy("block").applyInArrow(lambda rows: search.send_anchors(rows), exchange.REQUEST), exchange.elsewhere), "anchors")
+    known = staged(exchange.ask(narrow.groupBy("block").applyInArrow(lambda rows: search.send_anchors(rows), exchange.REQUEST), lambda rows: search.known(rows)), "anchors")
     sent = narrow.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(lambda rows, told: search.send_windows(rows, told), exchange.REQUEST)
     seen = staged(exchange.ask(sent, exchange.smaller_elsewhere), "windows")
     answers = known.withColumn("kind", F.lit(1)).unionAll(seen.withColumn("kind", F.lit(2)))
