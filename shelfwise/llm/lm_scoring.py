@@ -13,23 +13,23 @@ above is 256 contexts and the root: a few numbers each, summed over the buckets.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm import exchange
-from shelfwise.llm.common import bytes_of, id_and_text, in_blocks, staged
-from shelfwise.llm.decontaminate import LOWER
-from shelfwise.llm.repeats import Units, cut_words, grouped, word_codes, word_spans
+from shelfwise.llm.common import id_and_text, in_blocks, staged
+from shelfwise.llm.repeats import grouped, word_codes
 
 EDGE = 0xFF  # stands before and behind a text; no UTF-8 text holds it
 HALF = np.log(0.5)
 #: Two-byte contexts in another order, so that frequent ones spread over the buckets.
 SHUFFLED = np.random.Generator(np.random.PCG64(77)).permutation(1 << 16).astype(np.uint64)
 UNSHUFFLED = np.argsort(SHUFFLED).astype(np.uint64)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)  # odd, so that a product tells keys apart
 REPLY = "block long, bucket int, payload binary"
 
 
@@ -181,43 +181,43 @@ class Model:
         return 8 * (self.depth + 1)
 
     def strings(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct words and strings of a block's texts: codes and starts of words, strings and their starts."""
-        data, offsets = bytes_of(table.column("text"))
-        data = LOWER[data]
-        begins, ends, starts = word_spans(data, offsets)
-        codes = word_codes(data, begins, ends)
-        line, cuts = cut_words(data, offsets, np.ones(len(begins), bool), Units(np.zeros(0), codes, starts, codes))
-        sizes, pad = np.diff(cuts), self.depth
-        stream = np.full(len(line) + len(sizes) * (pad + 1), EDGE, np.uint8)
-        shift = np.repeat(np.arange(len(sizes)) * (pad + 1) + pad, sizes)
-        stream[np.arange(len(line)) + shift] = np.frombuffer(line, np.uint8)
-        first = cuts[:-1] + np.arange(len(sizes)) * (pad + 1) + pad
-        predicted = np.zeros(len(stream), bool)
-        predicted[pad:] = True
-        for k in range(pad):
-            predicted[first - 1 - k] = False
-        at, wide = np.flatnonzero(predicted), stream.astype(np.uint64)
-        key = SHUFFLED[(wide[at - 1] << np.uint64(8) | wide[at - 2]).astype(np.int64)]
+        """A block's words as codes, words of each text, strings to predict, and strings of each text."""
+        lines = [b" ".join(t.lower().split()) for t in table.column("text").cast(pa.binary()).to_pylist()]
+        sizes, pad = np.fromiter(map(len, lines), np.int64, len(lines)), self.depth
+        edge = bytes([EDGE])
+        stream = np.frombuffer(edge * pad + (edge * (pad + 1)).join(lines) + edge, np.uint8)
+        firsts = np.cumsum(sizes + pad + 1) - sizes - 1
+        gap = (stream == 0x20) | (stream == EDGE)
+        begins = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
+        ends = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
+        words = np.searchsorted(begins, np.append(firsts, len(stream)))
+        near = stream[pad - 1 : -1].astype(np.uint16) << np.uint16(8) | stream[pad - 2 : -2]
+        key = SHUFFLED[near]
         for back in range(3, pad + 1):
-            key = key << np.uint64(8) | wide[at - back]
-        return codes, starts, key << np.uint64(8) | wide[at], np.concatenate([[0], np.cumsum(sizes + 1)])
-
-    def counted(self, keys: np.ndarray, starts: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct keys, their number in training texts, and the place of each key."""
-        group, distinct = pd.factorize(keys)
-        order = np.argsort(distinct)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        group = place[group]
-        trained = np.repeat(train, np.diff(starts))
-        return distinct[order], np.bincount(group[trained], minlength=len(order)), group
+            key <<= np.uint64(8)
+            key |= stream[pad - back : -back]
+        key <<= np.uint64(8)
+        key |= stream[pad:]
+        wanted = np.ones(len(key), bool)
+        for k in range(pad):
+            wanted[firsts[1:] - pad - 1 - k] = False
+        return word_codes(stream, begins, ends), np.diff(words), key[wanted], sizes + 1
+
+    def counted(self, keys: np.ndarray, sizes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct keys, and their number in training texts."""
+        trained = np.repeat(train, sizes)
+        (seen, counts), (others, _) = runs(np.sort(keys[trained])), runs(np.sort(keys[~trained]))
+        distinct, _ = runs(np.sort(np.concatenate([seen, others])))
+        out = np.zeros(len(distinct), np.int64)
+        out[np.searchsorted(distinct, seen)] = counts
+        return distinct, out
 
     def send(self, table: pa.Table) -> pa.Table:
         block, train = table.column("block")[0].as_py(), ~held_out(table)
-        codes, starts, strings, ends = self.strings(table)
-        words, seen, _ = self.counted(codes, starts, train)
+        codes, n_words, strings, n_strings = self.strings(table)
+        words, seen = self.counted(codes, n_words, train)
         asked = exchange.requests(block, words, seen.astype(np.uint64), self.bits, 64)
-        grams, counts, _ = self.counted(strings, ends, train)
+        grams, counts = self.counted(strings, n_strings, train)
         more = exchange.requests(block, grams, counts.astype(np.uint64), self.bits, self.width, 1 << self.bits)
         return pa.concat_tables([asked, more])
 
@@ -267,31 +267,45 @@ class Model:
     def score(self, table: pa.Table, answers: pa.Table, totals: tuple[int, int, int]) -> pa.Table:
         tokens, distinct, ends_seen = totals
         out = held_out(table)
-        codes, starts, strings, ends = self.strings(table)
-        words, _, group = self.counted(codes, starts, ~out)
-        seen = self.payloads(answers, words, 64, 0)[group]
-        base = np.log10((seen + 1) / (tokens + distinct + 1))
-        some = np.diff(starts) > 0
-        known = np.add.reduceat(np.append(seen > 0, False).astype(np.int64), starts[:-1]) * some
-        sums = np.add.reduceat(np.append(base, 0.0), starts[:-1]) * some
-        grams, _, place = self.counted(strings, ends, ~out)
-        chances = self.payloads(answers, grams, self.width, 1 << self.bits)[place]
+        codes, n_words, strings, n_strings = self.strings(table)
+
+        def sums(keys: np.ndarray, sizes: np.ndarray, width: int, base: int, *values: Callable) -> list[np.ndarray]:
+            """Sums by text of functions of what the buckets told of each key."""
+            order = exchange.sorting(keys * SPREAD)
+            ordered = keys[order]
+            begins = np.flatnonzero(np.insert(ordered[1:] != ordered[:-1], 0, True)) if len(keys) else order
+            distinct = ordered[begins]
+            by_key = np.argsort(distinct)
+            told = np.empty(len(distinct))
+            told[by_key] = self.payloads(answers, distinct[by_key], width, base)
+            text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+            times = np.diff(np.append(begins, len(keys)))
+            return [np.bincount(text, weights=np.repeat(f(told), times), minlength=len(sizes)) for f in values]
+
+        base, known = sums(codes, n_words, 64, 0, lambda c: np.log10((c + 1) / (tokens + distinct + 1)), lambda c: c > 0)
+        (score,) = sums(strings, n_strings, self.width, 1 << self.bits, lambda x: x)
         columns = [
-            table.column("id"), pa.array(out), pa.array(np.diff(starts) + 1, pa.int64()),
-            pa.array(known + (ends_seen > 0), pa.int64()), pa.array([tokens] * len(out), pa.int64()),
-            pa.array(sums + np.log10((ends_seen + 1) / (tokens + distinct + 1))),
-            pa.array(np.add.reduceat(chances, ends[:-1])), pa.array(np.diff(ends), pa.int64()),
+            table.column("id"), pa.array(out), pa.array(n_words + 1, pa.int64()),
+            pa.array(known.astype(np.int64) + (ends_seen > 0), pa.int64()), pa.array([tokens] * len(out), pa.int64()),
+            pa.array(base + np.log10((ends_seen + 1) / (tokens + distinct + 1))),
+            pa.array(score), pa.array(n_strings, pa.int64()),
         ]
         return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
 
 
+def runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array, and their numbers."""
+    begins = np.flatnonzero(np.insert(ordered[1:] != ordered[:-1], 0, True)) if len(ordered) else np.zeros(0, np.int64)
+    return ordered[begins], np.diff(np.append(begins, len(ordered)))
+
+
 def held_out(table: pa.Table) -> np.ndarray:
     return table.column("held").to_numpy(zero_copy_only=False).astype(bool)
 
 
 def score_texts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 5, folds: int = 7, fold: int = 2,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """The model's log10 probability of every text, after learning from all texts but one fold.
 
