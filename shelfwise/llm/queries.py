@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,10 +13,14 @@ from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.html_extract import extract_text, labelled_pages, seed_pages, train_chain
 from shelfwise.llm.licenses import license_scan, license_sql
 from shelfwise.llm.lm_scoring import score_texts
+from shelfwise.llm.pieces import PieceModel, decode_pieces, encode_pieces
 from shelfwise.llm.simhash_dedup import simhash_dedup
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
 
+#: The model is a parameter of the operator; queries take the public one of this machine.
+PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -79,3 +84,14 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op9_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return extract_text(pages, train_chain(seed_pages() + labelled_pages(pages, table(spark, folder, "documents"))))
+
+
+@query
+def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = PieceModel.load(PIECES)
+    encoded = encode_pieces(table(spark, folder, "documents"), model, count=3)
+    return decode_pieces(encoded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", F.xxhash64("ids").alias("ids_hash"),
+        F.transform("alternatives", lambda a: a["score"]).alias("next_scores"), F.xxhash64("alternatives").alias("alternatives_hash"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
