@@ -14,6 +14,7 @@ from shelfwise.llm.html_extract import extract_text, labelled_pages, seed_pages,
 from shelfwise.llm.licenses import license_scan, license_sql
 from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.pieces import PieceModel, decode_pieces, encode_pieces
+from shelfwise.llm.quality import classify_quality, train_quality
 from shelfwise.llm.simhash_dedup import simhash_dedup
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
@@ -21,6 +22,8 @@ from shelfwise.llm.suffix_dedup import suffix_dedup
 #: The model is a parameter of the operator; queries take the public one of this machine.
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
+METADATA = ["lang", "source", "n_chars"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -95,3 +98,10 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.transform("alternatives", lambda a: a["score"]).alias("next_scores"), F.xxhash64("alternatives").alias("alternatives_hash"),
         (F.col("decoded") == F.col("text")).alias("round_trip"),
     )
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = train_quality(documents, table(spark, folder, "labels"), METADATA)
+    return classify_quality(documents, model, METADATA)
