@@ -9,7 +9,7 @@ from shelfwise.llm.repeats import byte_units, cut_bytes, remove_repeats
 
 
 def suffix_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, period: int = 21,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, period: int = 13,
     block_bytes: int = 4 << 20, carry: list[str] | tuple = (),
 ) -> DataFrame:
     """Cut every byte covered by a string of ``length`` bytes that also starts in a smaller id.
