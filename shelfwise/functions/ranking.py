@@ -53,6 +53,7 @@ def hashed_rank(
     cut every group, hot ones too, into 16**prefix even slices.
     """
     within = list(within)
+    same = [*within, "_slice"]
     keyed = df.withColumn("_md5", F.md5(key.cast("string").cast("binary"))).withColumn(
         "_slice", F.substring("_md5", 1, prefix)
     )
@@ -66,17 +67,19 @@ def hashed_rank(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .withColumn("_size", F.sum("_rows").over(Window.partitionBy(*within)))
-        .drop("_rows")
+        .select("_before", "_size", *[F.col(c).alias(f"_{i}_of_slice") for i, c in enumerate(same)])
     )
+    # Rows without a group or key form groups of their own and stay.
+    matched = [F.col(c).eqNullSafe(F.col(f"_{i}_of_slice")) for i, c in enumerate(same)]
     inside = F.row_number().over(
         Window.partitionBy(*within, "_slice").orderBy("_md5")
     )
     return (
         keyed.withColumn("_inside", inside)
-        .join(offsets, [*within, "_slice"])
+        .join(offsets, matched)
         .withColumn(name, (F.col("_before") + F.col("_inside")).cast("long"))
         .withColumn(f"{name}_of", F.col("_size").cast("long"))
-        .drop("_md5", "_slice", "_inside", "_before", "_size")
+        .drop("_md5", "_slice", "_inside", "_before", "_size", *[f"_{i}_of_slice" for i in range(len(same))])
     )
 
 

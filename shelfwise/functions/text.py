@@ -6,7 +6,9 @@ means the same on every JDK.
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
@@ -16,8 +18,6 @@ NOT_BLANK = r"[^\t-\r\x1c-\x20\x{85}\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
 TRIM_MARKS = r""".,!?"'()\[\]{}"""
 
-MAX_INLINE_ENTRIES = 1_000
-
 
 def strip(col: Column) -> Column:
     return F.regexp_replace(col, f"^{BLANK}+|{BLANK}+$", "")
@@ -50,15 +50,19 @@ def any_word(terms: Iterable[str]) -> str:
 
 
 def _lookup(word: Column, dictionary: Mapping[str, str]) -> Column:
-    """Dictionary value or NULL.  Words too long for any key skip the search."""
-    if len(dictionary) > MAX_INLINE_ENTRIES:
-        raise ValueError(
-            f"{len(dictionary)} entries: join the dictionary as a table "
-            "(operators.joins.dictionary_join)"
-        )
-    keys = F.create_map(*[F.lit(x) for pair in dictionary.items() for x in pair])
+    """Dictionary value or NULL, for a dictionary of any size.
+
+    The entries stand in an array of small maps, at the checksum of their key,
+    so a word is compared with the few entries of one place.  The array is one
+    constant, written as JSON.  Words too long for any key skip the search.
+    """
+    places: list[dict[str, str]] = [{} for _ in range(2 * len(dictionary))]
+    for key, value in dictionary.items():
+        places[zlib.crc32(key.encode()) % len(places)][key] = value
+    table = F.from_json(F.lit(json.dumps(places)), "array<map<string,string>>")
+    place = (F.crc32(word.cast("binary")) % len(places)).cast("int")
     longest = max(map(len, dictionary))
-    return F.when(F.length(word) <= longest, F.try_element_at(keys, word))
+    return F.when(F.length(word) <= longest, F.try_element_at(F.get(table, place), word))
 
 
 def translate(words: Column, dictionary: Mapping[str, str]) -> Column:
@@ -161,10 +165,11 @@ def neighbours(words: Column) -> Column:
 def word_ngrams(col: Column, sizes: Iterable[int] = (1, 2)) -> Column:
     """Space-joined runs of neighbouring words, for each size.
 
-    A look-ahead captures the run while the match moves on by one word, so the
+    Words of a single character are no terms and leave before runs are made.  A
+    look-ahead captures the run while the match moves on by one word, so the
     text is read once per size.
     """
-    body = squeeze(col)
+    body = squeeze(F.regexp_replace(squeeze(col), r"(?<!\S)\S(?!\S)", " "))
     runs = [rf"(?<!\S)(?=(\S+(?: \S+){{{n - 1}}})(?!\S))\S" for n in sizes]
     return F.flatten(F.array(*[F.regexp_extract_all(body, F.lit(r), 1) for r in runs]))
 

@@ -12,14 +12,9 @@ from shelfwise.operators.profile import first_type_per_product
 from shelfwise.session import stage
 from shelfwise.sources.readers import require_columns
 
-MAX_PIVOT_ITEMS = 1_000
-MAX_ITEMSET_SIZE = 20
-
 
 def basket_onehot(baskets: DataFrame, items: Sequence[str]) -> DataFrame:
-    """Transactions by a listed, bounded set of items, 0 or 1."""
-    if len(items) > MAX_PIVOT_ITEMS:
-        raise ValueError(f"{len(items)} columns: use basket_arrays")
+    """Transactions by a listed set of items, 0 or 1; ``basket_arrays`` is the long form."""
     return (
         baskets.groupBy("Transaction_ID")
         .pivot("Product_ID", list(items))
@@ -77,64 +72,68 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.02) -> DataFram
     )
 
 
-def association_rules(
+def rule_arrays(
     itemsets: DataFrame, min_confidence: float = 0.3, min_lift: float = 1.2
 ) -> DataFrame:
-    """Rules between any two parts of an itemset, both sides of any length.
+    """Rules between any two parts of an itemset, both sides sorted arrays of any length.
 
-    Parts are looked up in the itemsets themselves; every part of a frequent
-    itemset is frequent.
+    Right sides grow by an item a level.  A larger one never has a higher
+    confidence, so only those that pass grow, by items that pass alone.  Parts
+    are looked up in the itemsets; every part of a frequent itemset is frequent.
     """
-    whole = itemsets.where(F.size("items") > 1)
-    splits = (
-        whole.withColumn(
-            "mask",
-            F.explode(
-                F.expr(
-                    f"""sequence(1, if(size(items) <= {MAX_ITEMSET_SIZE},
-                        shiftleft(1, size(items)) - 2,
-                        raise_error('itemset too long to split into rules')))"""
-                )
-            ),
-        )
-        .withColumn("a", F.expr("filter(items, (x, i) -> getbit(mask, i) = 1)"))
-        .withColumn("c", F.expr("filter(items, (x, i) -> getbit(mask, i) = 0)"))
-        .select("a", "c", "support")
-    )
     left = itemsets.select(F.col("items").alias("a"), F.col("support").alias("support_a"))
+
+    def passing(candidates: DataFrame, level: int) -> DataFrame:
+        split = candidates.withColumn("a", F.array_except("items", "c"))
+        found = split.join(left, "a").withColumn("confidence", F.col("support") / F.col("support_a"))
+        kept = found.where(F.col("confidence") >= min_confidence)
+        return stage(kept.select("items", "support", "a", "c", "confidence"), f"rules_{level}")
+
+    whole = itemsets.where(F.size("items") > 1).select("items", "support")
+    levels = [passing(whole.withColumn("c", F.explode(F.transform("items", lambda x: F.array(x)))), 1)]
+    alone = levels[0].groupBy("items").agg(F.collect_list(F.col("c")[0]).alias("more"))
+    while not levels[-1].isEmpty():
+        larger = levels[-1].join(alone, "items").where(F.size("c") < F.size("items") - 1)
+        grown = larger.withColumn("x", F.explode("more")).where(F.col("x") > F.element_at("c", -1))
+        levels.append(
+            passing(grown.select("items", "support", F.concat("c", F.array("x")).alias("c")), len(levels) + 1)
+        )
+    rules = levels[0]
+    for level in levels[1:-1]:
+        rules = rules.unionByName(level)
     right = itemsets.select(F.col("items").alias("c"), F.col("support").alias("support_c"))
+    lift = F.col("confidence") / F.col("support_c")
     return (
-        splits.join(left, "a")
-        .withColumn("confidence", F.col("support") / F.col("support_a"))
-        .where(F.col("confidence") >= min_confidence)
-        .join(right, "c")
-        .withColumn("lift", F.col("confidence") / F.col("support_c"))
+        rules.join(right, "c")
+        .withColumn("lift", lift)
         .where(F.col("lift") >= min_lift)
-        .select(
-            F.array_join("a", ",").alias("antecedent"),
-            F.array_join("c", ",").alias("consequent"),
-            "support",
-            "confidence",
-            "lift",
-        )
+        .select("a", "c", "support", "confidence", "lift")
     )
 
 
+def joined_rules(rules: DataFrame) -> DataFrame:
+    """The sides as comma-joined text, as rules are stored."""
+    sides = [F.array_join("a", ",").alias("antecedent"), F.array_join("c", ",").alias("consequent")]
+    return rules.select(*sides, "support", "confidence", "lift")
+
+
+def association_rules(
+    itemsets: DataFrame, min_confidence: float = 0.3, min_lift: float = 1.2
+) -> DataFrame:
+    return joined_rules(rule_arrays(itemsets, min_confidence, min_lift))
+
+
 def filter_rule_types(
     rules: DataFrame, types: DataFrame, left: str = "smartphone", right: str = "accessory"
 ) -> DataFrame:
-    """Rules with some antecedent of one type and some consequent of the other."""
+    """Rules (of ``rule_arrays``) with some antecedent of one type and some consequent of the other."""
 
     def holding(side: str, kind: str) -> DataFrame:
-        items = rules.select(
-            "antecedent", "consequent", F.explode(F.split(side, ",")).alias("Product_ID")
-        )
+        items = rules.select("a", "c", F.explode(side).alias("Product_ID"))
         return items.join(types.where(F.col("Product_Type") == kind), "Product_ID", "left_semi")
 
-    key = ["antecedent", "consequent"]
-    return rules.join(holding("antecedent", left), key, "left_semi").join(
-        holding("consequent", right), key, "left_semi"
-    )
+    key = ["a", "c"]
+    return rules.join(holding("a", left), key, "left_semi").join(holding("c", right), key, "left_semi")
 
 
 def cross_sell_rules(
@@ -143,9 +142,7 @@ def cross_sell_rules(
     min_confidence: float = 0.3,
     min_lift: float = 1.2,
 ) -> DataFrame:
-    rules = association_rules(
-        frequent_itemsets(baskets, min_support), min_confidence, min_lift
-    )
-    if "Product_Type" not in baskets.columns:
-        return rules
-    return filter_rule_types(rules, first_type_per_product(baskets))
+    rules = rule_arrays(frequent_itemsets(baskets, min_support), min_confidence, min_lift)
+    if "Product_Type" in baskets.columns:
+        rules = filter_rule_types(rules, first_type_per_product(baskets))
+    return joined_rules(rules)

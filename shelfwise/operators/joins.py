@@ -32,16 +32,22 @@ def left_join_sentiment(products: DataFrame, scored: DataFrame | None, neutral:
     )
 
 
-def dictionary_join(docs: DataFrame, dictionary: DataFrame, key: str, column: str) -> DataFrame:
+def dictionary_join(
+    docs: DataFrame, dictionary: DataFrame, key: str, column: str, salts: int = 32
+) -> DataFrame:
     """One row per word with its replacement, itself where the dictionary has none.
 
-    For dictionaries of any size; ``functions.text.translate`` is the form for
-    small ones.
+    For dictionaries of any size; ``functions.text.translate`` gives whole
+    texts.  The few most frequent words make up much of any text, so every
+    entry stands once per salt and places of a word take the salts in turn.
     """
     words = docs.select(
         key, F.posexplode(text.tokens(F.lower(F.col(column)))).alias("position", "token")
+    ).withColumn("_salt", F.pmod(F.xxhash64(key, "position"), F.lit(salts)).cast("int"))
+    entries = dictionary.select(
+        "token", "replacement", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     )
-    return words.join(dictionary.select("token", "replacement"), "token", "left").select(
+    return words.join(entries, ["token", "_salt"], "left").select(
         key, "position", "token", F.coalesce("replacement", "token").alias("replacement")
     )
 

@@ -6,7 +6,6 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -19,8 +18,6 @@ from shelfwise.functions.ranking import scalar_struct
 from shelfwise.operators.cleaning import impute_median, present, with_segment
 from shelfwise.session import stage
 
-EXACT_SILHOUETTE_ROWS = 20_000
-
 
 def feature_columns(products: DataFrame, features: Sequence[str] = lexicon.SEGMENT_FEATURES) -> list[str]:
     found = present(products, features)
@@ -79,50 +76,9 @@ def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42)
         return min(pool.map(fit, range(restarts)), key=lambda m: m.summary.trainingCost)
 
 
-def silhouette(clustered: DataFrame, exact_rows: int = EXACT_SILHOUETTE_ROWS) -> tuple[float, str]:
-    """Mean silhouette and the distance it uses.
-
-    Euclidean needs every distance, so it is taken up to a checked number of
-    rows: each task measures its rows against the broadcast points.  Beyond,
-    the squared distance, whose sums factor per cluster.
-    """
-    spark = clustered.sparkSession
-    small = clustered.limit(exact_rows + 1).count() <= exact_rows
-    if not small:
-        judge = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster_id")
-        return judge.evaluate(clustered), "squared"
-    points = clustered.select(vector_to_array("scaled").alias("x"), "cluster_id")
-    rows = points.toPandas()
-    matrix = spark.sparkContext.broadcast(np.array(rows["x"].tolist()))
-    labels = spark.sparkContext.broadcast(rows["cluster_id"].to_numpy())
-
-    def widths(batches):
-        every, owner = matrix.value, labels.value
-        k = owner.max() + 1
-        member = np.eye(k)[owner]
-        sizes = member.sum(axis=0)
-        for batch in batches:
-            if batch.empty:
-                continue
-            own = batch["cluster_id"].to_numpy()
-            x = np.array(batch["x"].tolist())
-            out = np.empty(len(x))
-            for at in range(0, len(x), 32):
-                part, mine = x[at : at + 32], own[at : at + 32]
-                gap = part[:, None, :] - every[None, :, :]
-                total = np.sqrt((gap**2).sum(axis=2)) @ member
-                line = np.arange(len(part))
-                inner = total[line, mine] / np.maximum(sizes[mine] - 1, 1)
-                mean = np.where(sizes > 0, total / np.maximum(sizes, 1), np.inf)
-                mean[line, mine] = np.inf
-                outer = mean.min(axis=1)
-                widest = np.maximum(inner, outer)
-                score = np.where(widest > 0, (outer - inner) / np.where(widest > 0, widest, 1), 0.0)
-                out[at : at + 32] = np.where(sizes[mine] > 1, score, 0.0)
-            yield pd.DataFrame({"width": out})
-
-    mean = points.mapInPandas(widths, "width double").agg(F.avg("width")).first()[0]
-    return mean, "euclidean"
+def silhouette(clustered: DataFrame) -> float:
+    """Mean silhouette on squared distances, whose sums factor per cluster."""
+    return ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster_id").evaluate(clustered)
 
 
 def k_scores(
@@ -132,9 +88,8 @@ def k_scores(
     models, rows = {}, []
     for k in ks:
         models[k] = best_kmeans(vectors, k, restarts, seed)
-        score, distance = silhouette(models[k].transform(vectors))
-        rows.append((k, float(models[k].summary.trainingCost), float(score), distance))
-    schema = "k int, inertia double, silhouette double, distance string"
+        rows.append((k, float(models[k].summary.trainingCost), silhouette(models[k].transform(vectors))))
+    schema = "k int, inertia double, silhouette double"
     return vectors.sparkSession.createDataFrame(rows, schema), models
 
 

@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
     ElementwiseProduct,
+    HashingTF,
     Normalizer,
     VectorAssembler,
 )
@@ -31,7 +32,8 @@ from shelfwise.operators.joins import mean_sentiment
 from shelfwise.operators.profile import union_all
 from shelfwise.session import stage
 
-MAX_VOCABULARY = 1 << 20
+#: Hashed columns of word terms, and of those for trees, which bin every column of every row.
+TERM_COLUMNS, TREE_COLUMNS = 1 << 18, 1 << 12
 
 
 # Training sentences ---------------------------------------------------------
@@ -141,13 +143,24 @@ def smooth_idf(docs: DataFrame, terms: Column, least: int) -> DataFrame:
 
 
 def fit_tfidf(
-    docs: DataFrame, column: str = "terms", output: str = "tfidf", least: int = 2, size: int = MAX_VOCABULARY
+    docs: DataFrame, column: str = "terms", output: str = "tfidf", least: int = 2, size: int = TERM_COLUMNS,
+    listed: bool = False,
 ) -> PipelineModel:
-    """Counts, smoothed inverse frequencies plus one, unit length."""
-    counter = CountVectorizer(inputCol=column, outputCol=f"{output}_tf", minDF=float(least), vocabSize=size).fit(docs)
-    idf = IDF(inputCol=f"{output}_tf", outputCol="_").fit(counter.transform(docs)).idf
+    """Counts, smoothed inverse frequencies plus one, unit length.
+
+    Terms share ``size`` columns by hash, so none is left out whatever the
+    number of terms, and no vocabulary is gathered.  With ``listed`` the
+    ``size`` most frequent terms have a column each.  Columns that fewer than
+    ``least`` texts have count nothing.
+    """
+    if listed:
+        counter = CountVectorizer(inputCol=column, outputCol=f"{output}_tf", minDF=float(least), vocabSize=size).fit(docs)
+    else:
+        counter = HashingTF(inputCol=column, outputCol=f"{output}_tf", numFeatures=size)
+    idf = IDF(inputCol=f"{output}_tf", outputCol="_", minDocFreq=least).fit(counter.transform(docs)).idf.toArray()
     scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol=f"{output}_tf", outputCol=f"{output}_raw"
+        scalingVec=Vectors.dense((idf + 1.0) * (idf != 0) if not listed else idf + 1.0),
+        inputCol=f"{output}_tf", outputCol=f"{output}_raw",
     )
     unit = Normalizer(p=2.0, inputCol=f"{output}_raw", outputCol=output)
     return PipelineModel(stages=[counter, scale, unit])
@@ -231,7 +244,7 @@ def compare_classifiers(
     rows = stage(prepared, "folds", even=True)
     variants: dict[str, tuple[str, Callable[[DataFrame, str], Predict]]] = {
         "naive_bayes": ("word", _plain(NaiveBayes, "review_weight")),
-        "random_forest": ("word", _plain(lambda: RandomForestClassifier(numTrees=trees, seed=42))),
+        "random_forest": ("word_few", _plain(lambda: RandomForestClassifier(numTrees=trees, seed=42))),
         "logistic": ("word", _plain(lambda: LogisticRegression(maxIter=max_iter))),
         "linear_svm": ("word", _plain(lambda: LinearSVC(maxIter=max_iter))),
         "ensemble": ("word", _ensemble(max_iter)),
@@ -242,16 +255,18 @@ def compare_classifiers(
     for fold in range(folds):
         train, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
         word = fit_tfidf(train, "terms", "word")
-        char = fit_tfidf(train, "chars", "char", least=3, size=20_000)
+        few = fit_tfidf(train, "terms", "word_few", size=TREE_COLUMNS)
+        char = fit_tfidf(train, "chars", "char", least=3, size=20_000, listed=True)
         joined = PipelineModel(
             stages=[
                 word,
+                few,
                 char,
                 VectorAssembler(inputCols=["word", "char"], outputCol="word_char"),
                 VectorAssembler(inputCols=["word", "polarity"], outputCol="word_polarity"),
             ]
         )
-        used = ["label", *map(unnamed, ["word", "word_char", "word_polarity"])]
+        used = ["label", *map(unnamed, ["word", "word_few", "word_char", "word_polarity"])]
         weighted = joined.transform(with_weights(train))
         seen = stage(weighted.select(*used, "weight", "review_weight"), "seen", even=True).persist()
         asked = stage(joined.transform(held).select(*used), "asked", even=True)

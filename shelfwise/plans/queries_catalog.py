@@ -238,11 +238,11 @@ def _(t):
 
 @query(
     "page_paragraphs",
-    """SELECT page_id, unnest(p) AS paragraph, generate_subscripts(p, 1) AS place FROM (
-         SELECT page_id, regexp_extract_all(html, '<p>([^<]*)</p>', 1) AS p FROM pages)""",
+    f"""SELECT page_id, unnest(p) AS paragraph, generate_subscripts(p, 1) AS place FROM (
+         SELECT page_id, {html.paragraphs_sql('html')} AS p FROM pages)""",
 )
 def _(t):
-    blocks = F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), 1)
+    blocks = html.paragraphs(F.col("html"))
     return t.pages.select("page_id", F.posexplode(blocks).alias("at", "paragraph")).select(
         "page_id", "paragraph", (F.col("at") + 1).cast("long").alias("place")
     )

@@ -9,7 +9,7 @@ from shelfwise.functions import text
 from shelfwise.operators import baskets, evaluate, forecast, segments, sentiment
 from shelfwise.operators.cleaning import with_discount_rate, with_specs
 from shelfwise.plans import flows, sql
-from shelfwise.plans.queries_relational import RULE_COLUMNS, TYPES_SQL
+from shelfwise.plans.queries_relational import BASKETS_SQL, RULE_COLUMNS, TYPES_SQL
 from shelfwise.plans.queries_text import labeled, sentences
 from shelfwise.plans.registry import query, rounded
 from shelfwise.session import stage
@@ -75,7 +75,7 @@ def _(t):
     return rounded(clustered.select("Product_ID", "cluster_id", "cluster_name", "PC1", "PC2"))
 
 
-@query("flow_cross_sell", V("baskets") + ", " + sql.rules_sql(0.004, 0.12, 1.0) + TYPES_SQL + f" SELECT {RULE_COLUMNS} FROM typed")
+@query("flow_cross_sell", BASKETS_SQL + ", " + sql.rules_sql(0.004, 0.12, 1.0) + TYPES_SQL + f" SELECT {RULE_COLUMNS} FROM typed")
 def _(t):
     return rounded(baskets.cross_sell_rules(t.baskets, 0.004, 0.12, 1.0))
 

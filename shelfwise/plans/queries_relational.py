@@ -94,7 +94,8 @@ def _(t):
 
 
 BASKET = {"min_support": 0.02, "min_confidence": 0.15, "min_lift": 1.0}
-RULES_SQL = V("baskets") + ", " + sql.rules_sql(0.02, 0.15, 1.0)
+BASKETS_SQL = V("baskets").replace("WITH", "WITH RECURSIVE", 1)
+RULES_SQL = BASKETS_SQL + ", " + sql.rules_sql(0.02, 0.15, 1.0)
 TYPES_SQL = """, types AS (SELECT Product_ID, arg_min(Product_Type, ordinal) AS Product_Type FROM baskets GROUP BY 1),
     typed AS (SELECT * FROM rules r
         WHERE EXISTS (SELECT 1 FROM types WHERE Product_Type = 'smartphone' AND list_contains(string_split(r.antecedent, ','), Product_ID))
@@ -103,14 +104,14 @@ RULE_COLUMNS = "antecedent, consequent, round(support, 6) AS support, round(conf
 
 
 def all_rules(t):
-    return baskets.association_rules(
+    return baskets.rule_arrays(
         baskets.frequent_itemsets(t.baskets, BASKET["min_support"]), BASKET["min_confidence"], BASKET["min_lift"]
     )
 
 
 @query("rule_type_filter", RULES_SQL + TYPES_SQL + f" SELECT {RULE_COLUMNS} FROM typed")
 def _(t):
-    return rounded(baskets.filter_rule_types(all_rules(t), baskets.first_type_per_product(t.baskets)))
+    return rounded(baskets.joined_rules(baskets.filter_rule_types(all_rules(t), baskets.first_type_per_product(t.baskets))))
 
 
 @query(
@@ -121,12 +122,12 @@ def _(t):
 )
 def _(t):
     requests = t.baskets.select("Product_ID")
-    return rounded(joins.cross_sell_lookup(requests, all_rules(t)))
+    return rounded(joins.cross_sell_lookup(requests, baskets.joined_rules(all_rules(t))))
 
 
 @query("itemset_subset_join", RULES_SQL + f" SELECT {RULE_COLUMNS} FROM rules")
 def _(t):
-    return rounded(all_rules(t))
+    return rounded(baskets.joined_rules(all_rules(t)))
 
 
 @query(
@@ -249,14 +250,14 @@ def _(t):
 
 @query(
     "frequent_itemsets",
-    V("baskets") + ", " + sql.rules_sql(0.004, 0.15, 1.0) + " SELECT items, freq, round(support, 6) AS support FROM sets",
+    BASKETS_SQL + ", " + sql.rules_sql(0.004, 0.15, 1.0) + " SELECT items, freq, round(support, 6) AS support FROM sets",
 )
 def _(t):
     found = baskets.frequent_itemsets(t.baskets, 0.004)
     return rounded(found.withColumn("items", F.array_join("items", ",")))
 
 
-@query("association_rules", V("baskets") + ", " + sql.rules_sql(0.004, 0.12, 1.0) + f" SELECT {RULE_COLUMNS} FROM rules")
+@query("association_rules", BASKETS_SQL + ", " + sql.rules_sql(0.004, 0.12, 1.0) + f" SELECT {RULE_COLUMNS} FROM rules")
 def _(t):
     return rounded(baskets.association_rules(baskets.frequent_itemsets(t.baskets, 0.004), 0.12, 1.0))
 

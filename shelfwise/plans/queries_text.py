@@ -141,7 +141,7 @@ WORDS = sql.words_sql(sql.clean_sql("Review_Text"))
 
 @query(
     "word_ngrams",
-    V("reviews") + f""", w AS (SELECT Review_ID, {WORDS} AS w FROM reviews),
+    V("reviews") + f""", w AS (SELECT Review_ID, list_filter({WORDS}, lambda x: length(x) > 1) AS w FROM reviews),
     terms AS (SELECT Review_ID, unnest(w) AS term FROM w
         UNION ALL SELECT Review_ID, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w)
     SELECT term, count(DISTINCT Review_ID) AS df FROM terms GROUP BY term HAVING count(DISTINCT Review_ID) >= 2""",
@@ -273,7 +273,7 @@ def _(t):
 
 @query(
     "tfidf_features",
-    V("reviews") + f""", w AS (SELECT Review_ID, {WORDS} AS w FROM reviews),
+    V("reviews") + f""", w AS (SELECT Review_ID, list_filter({WORDS}, lambda x: length(x) > 1) AS w FROM reviews),
     terms AS (SELECT Review_ID, unnest(w) AS term FROM w
         UNION ALL SELECT Review_ID, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w)
     SELECT term, count(DISTINCT Review_ID) AS df,

@@ -192,30 +192,23 @@ LABEL_NAME = "CASE label WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' WHEN 2 THE
 
 
 def rules_sql(support: float, confidence: float, lift: float) -> str:
-    """Itemsets of one to three items and every rule between their parts."""
+    """Itemsets of any length and every rule between their parts; needs ``WITH RECURSIVE``."""
     return f"""items AS (SELECT DISTINCT Transaction_ID, Product_ID FROM baskets),
     total AS (SELECT count(DISTINCT Transaction_ID) AS n FROM baskets),
-    one AS (SELECT Product_ID AS a, count(*) / any_value(n) AS support, count(*) AS freq FROM items, total
-            GROUP BY 1 HAVING count(*) >= {support} * any_value(n)),
+    one AS (SELECT Product_ID AS a FROM items, total GROUP BY 1 HAVING count(*) >= {support} * any_value(n)),
     kept AS (SELECT * FROM items WHERE Product_ID IN (SELECT a FROM one)),
-    two AS (SELECT x.Product_ID AS a, y.Product_ID AS b, count(*) / any_value(n) AS support, count(*) AS freq
-            FROM kept x JOIN kept y ON x.Transaction_ID = y.Transaction_ID AND x.Product_ID < y.Product_ID, total
-            GROUP BY 1, 2 HAVING count(*) >= {support} * any_value(n)),
-    three AS (SELECT x.Product_ID AS a, y.Product_ID AS b, z.Product_ID AS c,
-                     count(*) / any_value(n) AS support, count(*) AS freq
-            FROM kept x JOIN kept y ON x.Transaction_ID = y.Transaction_ID AND x.Product_ID < y.Product_ID
-            JOIN kept z ON y.Transaction_ID = z.Transaction_ID AND y.Product_ID < z.Product_ID, total
-            GROUP BY 1, 2, 3 HAVING count(*) >= {support} * any_value(n)),
-    sets AS (SELECT a AS items, support, freq FROM one
-             UNION ALL SELECT a || ',' || b, support, freq FROM two
-             UNION ALL SELECT a || ',' || b || ',' || c, support, freq FROM three),
+    parts AS (SELECT Transaction_ID, [Product_ID] AS part, Product_ID AS last FROM kept
+              UNION ALL SELECT p.Transaction_ID, list_append(part, k.Product_ID), k.Product_ID
+              FROM parts p JOIN kept k ON k.Transaction_ID = p.Transaction_ID AND k.Product_ID > p.last),
+    lists AS (SELECT part, count(*) / any_value(n) AS support, count(*) AS freq FROM parts, total
+              GROUP BY part HAVING count(*) >= {support} * any_value(n)),
+    sets AS (SELECT array_to_string(part, ',') AS items, support, freq FROM lists),
     splits AS (
-        SELECT unnest([a, b]) AS antecedent, unnest([b, a]) AS consequent, support FROM two
-        UNION ALL
-        SELECT unnest([a, b, c, a || ',' || b, a || ',' || c, b || ',' || c]),
-               unnest([b || ',' || c, a || ',' || c, a || ',' || b, c, b, a]), support FROM three),
+        SELECT array_to_string(l.part, ',') AS antecedent, s.support, l.support AS left_support,
+               array_to_string(list_filter(s.part, lambda x: NOT list_contains(l.part, x)), ',') AS consequent
+        FROM lists s JOIN lists l ON len(l.part) < len(s.part) AND list_has_all(s.part, l.part)),
     rules AS (
-        SELECT antecedent, consequent, s.support, s.support / l.support AS confidence,
-               s.support / l.support / r.support AS lift
-        FROM splits s JOIN sets l ON l.items = antecedent JOIN sets r ON r.items = consequent
-        WHERE s.support / l.support >= {confidence} AND s.support / l.support / r.support >= {lift})"""
+        SELECT antecedent, consequent, s.support, s.support / left_support AS confidence,
+               s.support / left_support / r.support AS lift
+        FROM splits s JOIN sets r ON r.items = consequent
+        WHERE s.support / left_support >= {confidence} AND s.support / left_support / r.support >= {lift})"""

@@ -57,13 +57,3 @@ def stage(df: DataFrame, name: str = "stage", even: bool = False) -> DataFrame:
         df = df.hint("rebalance")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan over all cores, if it comes in fewer partitions than there are.
-
-    For long texts in a few small files.  A large table has more partitions
-    than cores already and stays as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

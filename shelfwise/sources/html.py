@@ -16,6 +16,11 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.functions import catalog, numeric, text
 
 # Elements without content; classes and links of the crawled pages.
+#: An opening tag ends an open element of the first set, up to the nearest of the second.
+IMPLIED_ENDS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"select"}), "p": ({"p"}, {"li", "td", "th", "div", "body"}),
+    "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
 
 LISTING = {
@@ -48,11 +53,17 @@ class Node:
     def classes(self) -> set[str]:
         return set(self.attrs.get("class", "").split())
 
-    def walk(self) -> Iterator[Node]:
-        for item in self.content:
+    def pieces(self) -> Iterator[Node | str]:
+        """Elements and text below, in page order; a stack, so depth costs no recursion."""
+        rest = list(reversed(self.content))
+        while rest:
+            item = rest.pop()
+            yield item
             if isinstance(item, Node):
-                yield item
-                yield from item.walk()
+                rest += reversed(item.content)
+
+    def walk(self) -> Iterator[Node]:
+        return (item for item in self.pieces() if isinstance(item, Node))
 
     def find_all(self, test) -> list[Node]:
         return [node for node in self.walk() if test(node)]
@@ -66,17 +77,7 @@ class Node:
         return None
 
     def text(self) -> str:
-        pieces: list[str] = []
-
-        def gather(node: Node) -> None:
-            for item in node.content:
-                if isinstance(item, Node):
-                    gather(item)
-                else:
-                    pieces.append(item)
-
-        gather(self)
-        return " ".join(" ".join(pieces).split())
+        return " ".join(" ".join(p for p in self.pieces() if isinstance(p, str)).split())
 
 
 class _Builder(HTMLParser):
@@ -84,7 +85,18 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("root", {}, None)
 
+    def close_open(self, tags: set[str], within: set[str]) -> None:
+        """End an open element of ``tags`` that no element of ``within`` parts from here."""
+        node = self.open
+        while node.parent is not None and node.tag not in within:
+            if node.tag in tags:
+                self.open = node.parent
+                return
+            node = node.parent
+
     def handle_starttag(self, tag, attrs):
+        if tag in IMPLIED_ENDS:
+            self.close_open(*IMPLIED_ENDS[tag])
         node = Node(tag, {k: v or "" for k, v in attrs}, self.open)
         self.open.content.append(node)
         if tag not in VOID:
@@ -184,6 +196,12 @@ def catalog_cards(html: str | None) -> list[dict[str, str]]:
     return [row for row in map(_card, cards) if row]
 
 
+def evenly(pages: DataFrame) -> DataFrame:
+    """Pages dealt by key before the parser, whatever files they come in."""
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(tasks, "page_id")
+
+
 CARD_FIELDS = ["href", "name", "brand", "price", "old_price", "delivery", "sold", "rating"]
 
 
@@ -205,7 +223,7 @@ def parse_catalog(pages: DataFrame, base_url: str) -> DataFrame:
     schema = "page_id long, Category string, position long, " + ", ".join(
         f"{f} string" for f in CARD_FIELDS
     )
-    raw = pages.select("page_id", "category", "html").mapInPandas(cards, schema)
+    raw = evenly(pages.select("page_id", "category", "html")).mapInPandas(cards, schema)
     url = catalog.absolute_url(F.col("href"), base_url)
     slug = F.nullif(catalog.url_slug(url), F.lit(""))
     return raw.select(
@@ -286,9 +304,7 @@ def parse_reviews(pages: DataFrame, id_prefix: str = "review-", language: str =
         "page_id long, product_id string, product_name string, position long, "
         + ", ".join(f"{f} string" for f in NODE_FIELDS)
     )
-    raw = pages.select("page_id", "product_id", "product_name", "html").mapInPandas(
-        reviews, schema
-    )
+    raw = evenly(pages.select("page_id", "product_id", "product_name", "html")).mapInPandas(reviews, schema)
     has_support = F.col("support") != ""
     digest = F.sha2(
         F.concat_ws("\x1f", "product_id", "page_id", "position", "words", "support"), 256
@@ -328,6 +344,50 @@ def review_total(words, noun: str = REVIEW_NOUN):
     return F.when(thousands, F.coalesce(scaled, plain)).otherwise(plain)
 
 
+# Elements of HTML that end a paragraph, and the references decoded in one.
+BLOCKS = (
+    "p|div|ul|ol|li|dl|dt|dd|table|tr|td|th|h[1-6]|article|section|nav|header|footer|aside|main|form|blockquote|pre|"
+    "figure|figcaption|hr|body|html"
+)
+REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+SILENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+PARAGRAPH_START = r"(?i)<p(\s[^>]*)?>"
+BLOCK_EDGE = rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>"
+START, EDGE = "\x01", "\x02"
+PARAGRAPH = f"{START}([^{START}{EDGE}]*)"
+
+
+def paragraphs(html):
+    """Texts of ``p`` elements, each up to its end tag or the next edge of a block; blank ones leave.
+
+    Inline tags are taken out and references decoded.
+    """
+    marked = F.regexp_replace(F.regexp_replace(html, SILENT, " "), PARAGRAPH_START, START)
+    found = F.regexp_extract_all(F.regexp_replace(marked, BLOCK_EDGE, EDGE), F.lit(PARAGRAPH), 1)
+
+    def plain(body):
+        body = F.regexp_replace(body, "<[^>]*>", " ")
+        for reference, sign in REFERENCES:
+            body = F.replace(body, F.lit(reference), F.lit(sign))
+        return F.trim(F.regexp_replace(body, r"\s+", " "))
+
+    return F.filter(F.transform(found, plain), lambda p: p != "")
+
+
+def paragraphs_sql(html: str) -> str:
+    """The same for SQL engines with RE2."""
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("'", "''").replace(START, "' || chr(1) || '").replace(EDGE, "' || chr(2) || '") + "'"
+
+    marked = f"regexp_replace(regexp_replace({html}, {quoted(SILENT)}, ' ', 'g'), {quoted(PARAGRAPH_START)}, {quoted(START)}, 'g')"
+    found = f"regexp_extract_all(regexp_replace({marked}, {quoted(BLOCK_EDGE)}, {quoted(EDGE)}, 'g'), {quoted(PARAGRAPH)}, 1)"
+    body = "regexp_replace(b, '<[^>]*>', ' ', 'g')"
+    for reference, sign in REFERENCES:
+        body = f"replace({body}, {quoted(reference)}, {quoted(sign)})"
+    return rf"list_filter(list_transform({found}, lambda b: trim(regexp_replace({body}, '\s+', ' ', 'g'))), lambda p: p <> '')"
+
+
 def page_fields(html) -> dict:
     """Title, heading and language of a page, as column expressions."""
     return {

@@ -97,6 +97,15 @@ def test_clean_text(spark):
     assert apply(spark, list(cases), clean) == list(cases.values())
 
 
+def test_one_letter_words_are_no_terms(spark):
+    assert apply(spark, ["ở a bc d", "a", "ab c đe"], text.word_ngrams) == [["bc"], [], ["ab", "đe", "ab đe"]]
+
+
+def test_dictionary_of_any_size(spark):
+    words = {f"k{i}": f"v{i}" for i in range(5000)}
+    assert apply(spark, ["k1 k4999 x k5000"], lambda c: text.clean_text(c, words)) == ["v1 v4999 x k5000"]
+
+
 def test_shop_names_are_a_parameter(spark):
     words = lexicon.shorthand({"abc": "a big company"})
     assert apply(spark, ["ABC k"], lambda c: text.clean_text(c, words)) == ["a big company không"]
@@ -126,7 +135,8 @@ words = st.lists(st.text("abđ", min_size=1, max_size=7), max_size=8)
 @given(words)
 def test_ngrams_against_loops(spark, tokens):
     body = " ".join(tokens)
-    pairs = tokens + [" ".join(p) for p in zip(tokens, tokens[1:])]
+    terms = [t for t in tokens if len(t) > 1]
+    pairs = terms + [" ".join(p) for p in zip(terms, terms[1:])]
     assert sorted(apply(spark, [body], text.word_ngrams)[0]) == sorted(pairs)
     expected = []
     for word in tokens:

@@ -235,3 +235,35 @@ def test_operators_stay_in_the_jvm(spark):
         shown = plan._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in shown and "CartesianProduct" not in shown and "NestedLoop" not in shown
     assert lexicon.SHORTHAND["k"] == "không"
+
+
+def test_deep_and_unclosed_pages(spark):
+    card = '<li class="item"><a class="main-contain" href="/p/{0}" data-name="n{0}" data-brand="b"></a>{1}'
+    listing = "<ul>" + card.format(1, "") + card.format(2, '<strong class="price">900</strong>') + "</ul>"
+    assert [(c["href"], c["price"]) for c in html.catalog_cards(listing)] == [("/p/1", ""), ("/p/2", "900")]
+    assert html.read_html("<font>" * 5000 + "x").text() == "x"
+    assert html.catalog_cards("<div>" * 5000 + listing)[1]["price"] == "900"
+
+
+def test_paragraphs(spark):
+    page = "<p><b>a &amp; b</b> c<p class='x'>d<br>e</p>loose<div><p>f</div>g<script>'<p>no</p>'</script><p> </p><pre>h</pre><P>i"
+    (row,) = spark.createDataFrame([(page,)], "h string").select(html.paragraphs(F.col("h")).alias("p")).collect()
+    assert row.p == ["a & b c", "d e", "f", "i"]
+
+
+def test_rules_of_long_itemsets(spark):
+    tx = [set("abcdef")] * 3 + [set("abcd")] * 2 + [set("ab"), set("c"), set("def"), set("x,y")] * 2
+    df = spark.createDataFrame([(f"t{i}", p) for i, t in enumerate(tx) for p in t], "Transaction_ID string, Product_ID string")
+    support = lambda s: sum(set(s) <= t for t in tx) / len(tx)
+    expected = set()
+    for n in range(2, 7):
+        for items in combinations("abcdef", n):
+            for k in range(1, n):
+                for left in combinations(items, k):
+                    right = tuple(x for x in items if x not in left)
+                    confidence = support(items) / support(left)
+                    if support(items) >= 0.15 and confidence >= 0.7 and confidence / support(right) >= 1.1:
+                        expected.add((left, right, round(confidence, 6)))
+    found = baskets.rule_arrays(baskets.frequent_itemsets(df, 0.15), 0.7, 1.1).where(~F.array_contains("a", "x") & ~F.array_contains("c", "x"))
+    found = [r for r in found.collect() if not set("xy,") & set(r.a + r.c)]
+    assert {(tuple(r.a), tuple(r.c), round(r.confidence, 6)) for r in found} == expected

@@ -78,3 +78,13 @@ def test_ntile(spark):
         df = spark.range(1, n + 1).select(F.col("id").alias("r"), ranking.ntile(F.col("id"), F.lit(n), 5).alias("t"))
         expected = spark.sql(f"select id as r, ntile(5) over (order by id) as t from range(1, {n + 1})")
         assert df.exceptAll(expected).count() == 0
+
+
+def test_rows_without_group_or_key_stay(spark):
+    rows = [(i if i % 5 else None, "a" if i % 3 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, g string")
+    dealt = folds.stratified_kfold(df, "id", "g", 4)
+    assert dealt.count() == 40 and folds.stratified_split(df, "id", "g").count() == 40
+    sizes = {r["g"]: r["n"] for r in dealt.groupBy("g", "fold").count().groupBy("g").agg((F.max("count") - F.min("count")).alias("n")).collect()}
+    assert set(sizes) == {"a", None} and max(sizes.values()) <= 1
+    assert sorted(r["r"] for r in ranking.hashed_rank(df, F.col("id"), name="r").collect()) == list(range(1, 41))
