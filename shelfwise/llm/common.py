@@ -26,6 +26,16 @@ def short_lived_shuffles(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` texts for this session, as whole texts are long.
+
+    Queries and stages ask for it; a session that set a smaller number keeps it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; its shuffle files are dropped.
 

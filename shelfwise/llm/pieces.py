@@ -19,7 +19,7 @@ SPACE = "▁"  # stands for a space in pieces
 SWAP = str.maketrans({" ": SPACE, SPACE: " "})
 UNKNOWN_COST = 10.0
 #: Segmentations of units are kept, up to so many; then the store starts anew.
-KEPT_UNITS = 400_000
+KEPT_UNITS = 200_000
 MIX, WORD = np.uint64(0x9E3779B97F4A7C15), (1 << 64) - 1
 
 
@@ -170,8 +170,8 @@ class PieceModel:
         new = [u for u in units if u not in self.kept.place]
         for low, high in ((0, 8), (8, 16), (16, 32)):
             some = [u for u in new if low < len(u) <= high]
-            for s in range(0, len(some), 50_000):
-                self.kept.add(some[s : s + 50_000], *self.solve(some[s : s + 50_000], high))
+            for s in range(0, len(some), 20_000):
+                self.kept.add(some[s : s + 20_000], *self.solve(some[s : s + 20_000], high))
         for unit in new:
             if len(unit) > 32:
                 (score, ids), *rest = self.best(unit, 2)
@@ -378,8 +378,8 @@ def encode_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            for s in range(0, len(batch), 1000):
-                part = batch.slice(s, 1000)
+            for s in range(0, len(batch), 400):
+                part = batch.slice(s, 400)
                 made = own.encode_all(part.column("text").to_pylist(), count)
                 lists = pa.ListArray.from_arrays(pa.array(made.offsets, pa.int32()), pa.array(made.ids))
                 others = [[{"score": x, "edits": [{"begin": b, "end": e, "ids": i} for b, e, i in edits]} for x, edits in c] for c in made.changes]
@@ -398,8 +398,8 @@ def decode_pieces(encoded: DataFrame, model: PieceModel, ids_col: str = "ids", o
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, len(batch), 1000):
-                part = batch.slice(s, 1000)
+            for s in range(0, len(batch), 400):
+                part = batch.slice(s, 400)
                 lists = part.column(ids_col)
                 sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

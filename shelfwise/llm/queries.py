@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.ann_search import ann_search
-from shelfwise.llm.common import hex_digest
+from shelfwise.llm.common import hex_digest, short_batches
 from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.html_extract import extract_text, labelled_pages, seed_pages, train_chain
 from shelfwise.llm.licenses import license_scan, license_sql
@@ -34,6 +34,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
