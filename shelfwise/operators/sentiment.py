@@ -157,10 +157,10 @@ def fit_tfidf(
         counter = CountVectorizer(inputCol=column, outputCol=f"{output}_tf", minDF=float(least), vocabSize=size).fit(docs)
     else:
         counter = HashingTF(inputCol=column, outputCol=f"{output}_tf", numFeatures=size)
-    idf = IDF(inputCol=f"{output}_tf", outputCol="_", minDocFreq=least).fit(counter.transform(docs)).idf.toArray()
+    found = IDF(inputCol=f"{output}_tf", outputCol="_", minDocFreq=least).fit(counter.transform(docs))
+    scales = [w + 1.0 if n >= least else 0.0 for w, n in zip(found.idf.toArray().tolist(), found.docFreq)]
     scale = ElementwiseProduct(
-        scalingVec=Vectors.dense((idf + 1.0) * (idf != 0) if not listed else idf + 1.0),
-        inputCol=f"{output}_tf", outputCol=f"{output}_raw",
+        scalingVec=Vectors.dense(scales), inputCol=f"{output}_tf", outputCol=f"{output}_raw"
     )
     unit = Normalizer(p=2.0, inputCol=f"{output}_raw", outputCol=output)
     return PipelineModel(stages=[counter, scale, unit])

@@ -16,7 +16,7 @@ from shelfwise.session import stage
 from shelfwise.sources.tables import ASPECTS, DICTIONARY, with_views
 
 V = with_views
-RESTARTS = 3
+RESTARTS = 5
 SMALL = forecast.BoostParams(n_estimators=10, max_depth=3, learning_rate=0.2)
 
 
@@ -49,13 +49,13 @@ def _(t):
 @query("kmeans_segments")
 def _(t):
     rows = vectors(t)
-    model = segments.best_kmeans(rows, 4, RESTARTS)
+    model = segments.best_kmeans(rows, 8, RESTARTS)
     return model.transform(rows).select("Product_ID", "cluster_id")
 
 
 @query("kmeans_k_scores")
 def _(t):
-    scores, _models = segments.k_scores(vectors(t), range(2, 6), RESTARTS)
+    scores, _models = segments.k_scores(vectors(t), range(2, 10), RESTARTS)
     return rounded(scores)
 
 
@@ -71,7 +71,7 @@ def _(t):
 
 @query("flow_segments")
 def _(t):
-    clustered, _scores, _model = segments.segment_products(catalogue(t), range(2, 5), RESTARTS)
+    clustered, _scores, _model = segments.segment_products(catalogue(t), restarts=RESTARTS)
     return rounded(clustered.select("Product_ID", "cluster_id", "cluster_name", "PC1", "PC2"))
 
 
