@@ -11,6 +11,7 @@ from shelfwise.functions import catalog, text
 from shelfwise.functions.ranking import first_per_key
 from shelfwise.operators import cleaning, profile
 from shelfwise.operators.aspects import AspectLexicon, aspect_coverage, aspect_summary
+from shelfwise.operators.phrases import with_segments
 from shelfwise.operators.pricing import price_elasticity
 from shelfwise.session import stage
 from shelfwise.sources.writers import aspect_documents, elasticity_documents
@@ -28,10 +29,8 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def _segmented(df: DataFrame, segmenter: Segmenter | None) -> DataFrame:
-    """The segmenter's column, or the cleaned text where there is none."""
-    if segmenter is None:
-        return df.withColumn("Review_Text_Segmented", F.col("Review_Text_Clean"))
-    return segmenter(df, "Review_Text_Clean")
+    """The segmenter's column; without one, phrases are mined from the texts themselves."""
+    return (segmenter or with_segments)(df, "Review_Text_Clean")
 
 
 def clean_reviews(

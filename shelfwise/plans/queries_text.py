@@ -90,20 +90,18 @@ def _(t):
 
 @query(
     "phrase_mining",
-    f"""WITH pairs AS (
-        SELECT w[i] AS first, w[i + 1] AS second, count(*) AS n
-        FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {sql.words_sql('text')} AS w FROM documents)) GROUP BY 1, 2),
-    f AS (SELECT first, sum(n) AS nf FROM pairs GROUP BY 1), s AS (SELECT second, sum(n) AS ns FROM pairs GROUP BY 1),
-    total AS (SELECT sum(n) AS t FROM pairs),
-    scored AS (SELECT first, second, n, ln(n * t / (CAST(nf AS DOUBLE) * ns)) / -ln(n / t) AS npmi
-               FROM pairs JOIN f USING (first) JOIN s USING (second), total WHERE n >= 20)
-    SELECT first, second, n, round(npmi, 6) AS npmi FROM scored WHERE npmi >= 0.3""",
+    f"""WITH {sql.phrases_sql('documents', 'text')}
+    SELECT first, second, n, round(npmi, 6) AS npmi FROM phrases""",
 )
 def _(t):
     return rounded(phrases.mine_phrases(t.documents, "doc_id", "text"))
 
 
-@query("phrase_segment")
+@query(
+    "phrase_segment",
+    f"""WITH {sql.segmented_sql('documents', 'doc_id', 'text')}
+    SELECT doc_id, coalesce(segmented, '') AS segmented FROM documents LEFT JOIN segmented ON id = doc_id""",
+)
 def _(t):
     found = phrases.mine_phrases(t.documents, "doc_id", "text")
     return phrases.segment_phrases(t.documents, found, "doc_id", "text")
@@ -247,7 +245,8 @@ def flat_summary(summary):
 
 def labeled(t):
     """``key, clean, label`` of the reviews that state stars."""
-    return flows.label_reviews(t.raw_reviews, DICTIONARY).select(
+    unsegmented = lambda df, column: df.withColumn("Review_Text_Segmented", F.col(column))
+    return flows.label_reviews(t.raw_reviews, DICTIONARY, unsegmented).select(
         F.col("Review_ID").alias("key"), F.col("Review_Text_Clean").alias("clean"), "label"
     )
 
@@ -358,8 +357,11 @@ def _(t):
 
 @query(
     "flow_reviews",
-    V("raw_reviews") + f"""SELECT Review_ID, {sql.clean_sql('Review_Text')} AS Review_Text_Clean, {sql.clean_sql('Review_Text')} AS Review_Text_Segmented,
-        CAST(CASE WHEN TRY_CAST(Star_Rating AS DOUBLE) >= 4 THEN 1 WHEN TRY_CAST(Star_Rating AS DOUBLE) <= 2 THEN 0 END AS DOUBLE) AS label FROM raw_reviews""",
+    V("raw_reviews") + f""", cleaned AS (SELECT Review_ID, Star_Rating, {sql.clean_sql('Review_Text')} AS clean FROM raw_reviews),
+    {sql.segmented_sql('cleaned', 'Review_ID', 'clean')}
+    SELECT Review_ID, clean AS Review_Text_Clean, coalesce(segmented, '') AS Review_Text_Segmented,
+        CAST(CASE WHEN TRY_CAST(Star_Rating AS DOUBLE) >= 4 THEN 1 WHEN TRY_CAST(Star_Rating AS DOUBLE) <= 2 THEN 0 END AS DOUBLE) AS label
+    FROM cleaned LEFT JOIN segmented ON id = Review_ID""",
 )
 def _(t):
     return flows.clean_reviews(t.raw_reviews, DICTIONARY).select(
@@ -369,8 +371,9 @@ def _(t):
 
 @query(
     "flow_labels",
-    V("raw_reviews") + f""", {LABELED} SELECT Review_ID, Review_Text AS Review_Text_Raw, words AS Review_Text_NoNoise,
-        clean AS Review_Text_Clean, clean AS Review_Text_Segmented, label, label_name FROM labeled""",
+    V("raw_reviews") + f""", {LABELED}, {sql.segmented_sql('labeled', 'Review_ID', 'clean')}
+    SELECT Review_ID, Review_Text AS Review_Text_Raw, words AS Review_Text_NoNoise, clean AS Review_Text_Clean,
+        coalesce(segmented, '') AS Review_Text_Segmented, label, label_name FROM labeled LEFT JOIN segmented ON id = Review_ID""",
 )
 def _(t):
     return flows.label_reviews(t.raw_reviews, DICTIONARY).select(

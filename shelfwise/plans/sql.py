@@ -212,3 +212,28 @@ def rules_sql(support: float, confidence: float, lift: float) -> str:
                s.support / left_support / r.support AS lift
         FROM splits s JOIN sets r ON r.items = consequent
         WHERE s.support / left_support >= {confidence} AND s.support / left_support / r.support >= {lift})"""
+
+
+def phrases_sql(source: str, column: str) -> str:
+    """``phrases``: neighbouring words of ``source`` that occur together far more often than alone."""
+    return f"""pairs AS (
+        SELECT w[i] AS first, w[i + 1] AS second, count(*) AS n
+        FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {words_sql(column)} AS w FROM {source})) GROUP BY 1, 2),
+    f AS (SELECT first, sum(n) AS nf FROM pairs GROUP BY 1), s AS (SELECT second, sum(n) AS ns FROM pairs GROUP BY 1),
+    total AS (SELECT sum(n) AS t FROM pairs),
+    phrases AS (SELECT * FROM (
+        SELECT first, second, n, ln(n * t / (CAST(nf AS DOUBLE) * ns)) / -ln(n / t) AS npmi
+        FROM pairs JOIN f USING (first) JOIN s USING (second), total WHERE n >= 20) WHERE npmi >= 0.3)"""
+
+
+def segmented_sql(source: str, key: str, column: str) -> str:
+    """``segmented``: texts with listed pairs joined, in a run of them every other one from the first on."""
+    return f"""{phrases_sql(source, column)},
+    listed_words AS (SELECT {key} AS id, {words_sql(column)} AS w FROM {source}),
+    placed AS (SELECT id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS first, unnest(list_append(w[2:], NULL)) AS second FROM listed_words),
+    marked AS (SELECT id, i, placed.first AS word, phrases.n IS NOT NULL AS listed
+        FROM placed LEFT JOIN phrases ON phrases.first = placed.first AND phrases.second = placed.second),
+    broken AS (SELECT *, sum(CASE WHEN listed THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY i) AS run FROM marked),
+    turns AS (SELECT *, listed AND sum(CAST(listed AS INT)) OVER (PARTITION BY id, run ORDER BY i) % 2 = 1 AS joins FROM broken),
+    glued AS (SELECT *, CASE WHEN lag(joins, 1, false) OVER (PARTITION BY id ORDER BY i) THEN '_' ELSE ' ' END || word AS piece FROM turns),
+    segmented AS (SELECT id, trim(string_agg(piece, '' ORDER BY i)) AS segmented FROM glued GROUP BY id)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,19 +12,19 @@ from shelfwise.sources.readers import path_exists
 
 
 def ingest_new(
-    stream: DataFrame, sink: str, key: str, order: str, checkpoint: str
+    stream: DataFrame, sink: str, key: str, order: str, checkpoint: str, name: str | None = None
 ) -> StreamingQuery:
     """Append the first row of every key the sink does not hold yet.
 
     A batch writes its own folder and overwrites it when run again, so a
-    restart neither repeats nor loses rows; the folder carries the id that the
-    checkpoint gave the query, so a new checkpoint adds to an old sink.  Only
-    the key column of the other folders is read back.
+    restart neither repeats nor loses rows; the folder carries ``name``, by
+    default a digest of the checkpoint's place, so a new checkpoint adds to an
+    old sink.  Only the key column of the other folders is read back.
     """
+    query = name or hashlib.md5(checkpoint.encode()).hexdigest()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         fresh = first_per_key(batch, [key], F.col(order))
         if path_exists(spark, sink):
             own = (F.col("query") == query) & (F.col("batch") >= batch_id)
