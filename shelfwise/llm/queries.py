@@ -16,6 +16,7 @@ from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.pieces import PieceModel, decode_pieces, encode_pieces
 from shelfwise.llm.quality import classify_quality, train_quality
 from shelfwise.llm.simhash_dedup import simhash_dedup
+from shelfwise.llm.sql import contamination_sql, substring_sql, suffix_sql
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
 
@@ -64,12 +65,18 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op4_suffix_dedup"] = suffix_sql()
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", hex_digest("kept").alias("kept_sha256"))
 
 
+ORACLES["op5_substring_dedup"] = substring_sql()
+
+
 @query
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -79,6 +86,9 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op6_decontaminate"] = contamination_sql()
+
+
 @query
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
