@@ -160,5 +160,6 @@ def segment_products(
         ks = candidate_ks(vectors.limit(10).count())
     scores, models = k_scores(vectors, ks, restarts, seed)
     chosen = models[best_k(scores).first()["k"]]
+    vectors.unpersist()  # the stored table serves what is left to read
     clustered = with_coordinates(with_segment(chosen.transform(vectors))).drop("scaled")
     return clustered, scores, chosen
