@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 
 REQUEST = "block long, bucket int, size int, keys binary, vals binary"
 REPLY = "block long, bucket int, bits binary"
-_REQUEST = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("size", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())])
-_REPLY = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("bits", pa.binary())])
+REQUEST_SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("size", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())])
+REPLY_SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("bits", pa.binary())])
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -78,7 +78,7 @@ def requests(block: int, keys: np.ndarray, vals: np.ndarray | None, bits: int, w
             pa.array([pack_sorted(keys[s:e]) for s, e in spans], pa.binary()),
             pa.array([b"" if vals is None else planes(vals[s:e]) for s, e in spans], pa.binary()),
         ],
-        schema=_REQUEST,
+        schema=REQUEST_SCHEMA,
     )
 
 
@@ -93,7 +93,7 @@ def gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray | None, np.ndarray
 def replies(table: pa.Table, flags: np.ndarray, sizes: np.ndarray) -> pa.Table:
     ends = np.cumsum(sizes)
     packed = [np.packbits(flags[e - n : e]).tobytes() for e, n in zip(ends, sizes)]
-    return pa.table([table.column("block"), table.column("bucket"), pa.array(packed, pa.binary())], schema=_REPLY)
+    return pa.table([table.column("block"), table.column("bucket"), pa.array(packed, pa.binary())], schema=REPLY_SCHEMA)
 
 
 def elsewhere(table: pa.Table) -> pa.Table:

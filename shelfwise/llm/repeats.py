@@ -227,7 +227,7 @@ class Search:
 
     def send_windows(self, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(table):
-            return exchange._REQUEST.empty_table()
+            return exchange.REQUEST_SCHEMA.empty_table()
         block = table.column("block")[0].as_py()
         _, units = self.block(table)
         keys, _, least, _ = self.whole_windows(units, self.candidates(units, answers)[0])
