@@ -13,20 +13,24 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.session import stage
 
 
+#: Rows that a task ranks; the number of slices follows the table.
+SLICE_ROWS = 1_000_000
+
+
 def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Position of each row in the order, from 1.
 
     ``order`` must end in a unique key.  Rows are range partitioned, so a value
     shared by many rows is spread over slices by the columns after it.
     """
-    spark = df.sparkSession
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(least, -(-df.count() // SLICE_ROWS))
     ranged = df.repartitionByRange(slices, *order).withColumn(
         "_slice", F.spark_partition_id()
     )
     staged = stage(ranged, "ranked")
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice, so never more than the number of shuffle partitions.
+    # One row per slice.
     offsets = (
         staged.groupBy("_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -45,13 +49,16 @@ def hashed_rank(
     key: Column,
     within: Sequence[str] = (),
     name: str = "rank",
-    prefix: int = 3,
 ) -> DataFrame:
     """Position by ``md5(key)`` from 1, per ``within``; a seeded shuffle.
 
-    The digest of a unique key is uniform, so its first ``prefix`` hex digits
-    cut every group, hot ones too, into 16**prefix even slices.
+    The digest of a unique key is uniform, so its first hex digits, as many as
+    the number of rows asks for, cut every group, hot ones too, into even slices.
     """
+    prefix = 3
+    rows = df.count()
+    while rows > SLICE_ROWS * 16**prefix:
+        prefix += 1
     within = list(within)
     same = [*within, "_slice"]
     keyed = df.withColumn("_md5", F.md5(key.cast("string").cast("binary"))).withColumn(
