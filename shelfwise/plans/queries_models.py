@@ -16,8 +16,6 @@ from shelfwise.session import stage
 from shelfwise.sources.tables import ASPECTS, DICTIONARY, with_views
 
 V = with_views
-RESTARTS = 5
-SMALL = forecast.BoostParams(n_estimators=10, max_depth=3, learning_rate=0.2)
 
 
 # Segments -------------------------------------------------------------------
@@ -49,13 +47,13 @@ def _(t):
 @query("kmeans_segments")
 def _(t):
     rows = vectors(t)
-    model = segments.best_kmeans(rows, 8, RESTARTS)
+    model = segments.best_kmeans(rows, 8)
     return model.transform(rows).select("Product_ID", "cluster_id")
 
 
 @query("kmeans_k_scores")
 def _(t):
-    scores, _models = segments.k_scores(vectors(t), range(2, 10), RESTARTS)
+    scores, _models = segments.k_scores(vectors(t), range(2, 10))
     return rounded(scores)
 
 
@@ -71,7 +69,7 @@ def _(t):
 
 @query("flow_segments")
 def _(t):
-    clustered, _scores, _model = segments.segment_products(catalogue(t), restarts=RESTARTS)
+    clustered, _scores, _model = segments.segment_products(catalogue(t))
     return rounded(clustered.select("Product_ID", "cluster_id", "cluster_name", "PC1", "PC2"))
 
 
@@ -113,24 +111,25 @@ def training(t, folds=5):
 @query("forecast_train")
 def _(t):
     rows = training(t)
-    return rounded(forecast.train_forecast(rows, SMALL).transform(rows).select("Product_ID", "target", "prediction"), 4)
+    return rounded(forecast.train_forecast(rows).transform(rows).select("Product_ID", "target", "prediction"), 4)
 
 
 @query("forecast_tune")
 def _(t):
-    ranges = {"n_estimators": (5, 10), "max_depth": (2, 3)}
-    scores, _best = forecast.tune_forecast(training(t, 2), trials=2, search=ranges)
+    scores, _best = forecast.tune_forecast(training(t))
     return rounded(scores)
 
 
 @query("forecast_cv_metrics")
 def _(t):
-    return rounded(forecast.cv_metrics(training(t, 3), SMALL), 4)
+    return rounded(forecast.cv_metrics(training(t)), 4)
 
 
 @query("forecast_compare")
 def _(t):
-    return rounded(forecast.compare_forecasts(training(t, 2), SMALL, trees=10, default=SMALL), 4)
+    rows = training(t)
+    _scores, best = forecast.tune_forecast(rows)
+    return rounded(forecast.compare_forecasts(rows, best), 4)
 
 
 @query(
@@ -148,7 +147,7 @@ def _(t):
 
 @query("forecast_score_7d")
 def _(t):
-    model = forecast.train_forecast(training(t), SMALL)
+    model = forecast.train_forecast(training(t))
     days = forecast.forecast_days(t.requests, model, "2024-04-26")
     return days.withColumn("date", F.col("date").cast("string"))
 
@@ -174,17 +173,17 @@ def _(t):
         F.col("quality").alias("label"),
         (F.col("n_chars") % 7 + 1).cast("double").alias("review_weight"),
     )
-    return rounded(sentiment.compare_classifiers(docs, folds=2, max_iter=10, trees=10))
+    return rounded(sentiment.compare_classifiers(docs))
 
 
 @query("sentiment_train")
 def _(t):
-    _model, metrics = sentiment.train_sentiment(labeled(t), sentences(t), max_iter=20)
+    _model, metrics = sentiment.train_sentiment(labeled(t), sentences(t))
     return rounded(metrics)
 
 
 def scored_reviews(t):
-    model = sentiment.fit_sentiment(labeled(t).select("clean", "label"), max_iter=20)
+    model = sentiment.fit_sentiment(labeled(t).select("clean", "label"))
     return sentiment.score_sentiment(t.raw_reviews.select("Review_ID", "Product_ID", "Review_Text"), model)
 
 

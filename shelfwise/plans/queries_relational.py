@@ -277,7 +277,7 @@ def _(t):
     products = with_specs(t.spec_products)
     filled = segments.with_features(products)
     vectors = stage(segments.with_vector(filled, segments.feature_columns(filled)), "vectors", even=True).persist()
-    scores, _models = segments.k_scores(vectors, range(2, 5), restarts=2)
+    scores, _models = segments.k_scores(vectors, range(2, 10))
     return segments.best_k(scores)
 
 

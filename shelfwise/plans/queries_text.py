@@ -453,7 +453,7 @@ def _(t):
 
 @query("stream_sentiment")
 def _(t):
-    model = sentiment.fit_sentiment(labeled(t).select("clean", "label"), max_iter=10)
+    model = sentiment.fit_sentiment(labeled(t).select("clean", "label"))
     stream = (
         t.spark.readStream.schema(t.conversations.schema)
         .option("pathGlobFilter", "conversations.parquet")
