@@ -22,6 +22,8 @@ ENDS = {
     "option": ({"option"}, {"select", "datalist"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
+#: What may stand in a head; anything else ends it.
+IN_HEAD = {"html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "script", "style", "noscript", "noframes", "template"}
 HOLDERS = {"table", "td", "th", "button", "body", "html"}
 
 TOKEN = re.compile(
@@ -80,12 +82,17 @@ def blocks_of(page: str) -> list[Block]:
             silent -= gone.tag in SILENT
         del stack[place:]
 
+    def end_head() -> None:
+        pop_to(next(place for place in range(1, len(stack)) if stack[place].tag == "head"))
+
     while at < end:
         token = TOKEN.match(page, at)
         at = token.end()
         tag = token[2]
         if tag is None:
             if token[0][0] != "<" or token[0] == "<":
+                if counts["head"] and silent == counts["head"] and token[0].strip():
+                    end_head()
                 if not silent:
                     parts.append(token[0])
                     linked += len(token[0]) * (links > 0)
@@ -106,6 +113,11 @@ def blocks_of(page: str) -> list[Block]:
                 else:
                     close()
             continue
+        if counts["head"]:
+            if tag == "head":
+                continue
+            if tag not in IN_HEAD:
+                end_head()
         if tag in RAW and not token[3].endswith("/"):
             ending = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(page, at)
             body = page[at : ending.start()] if ending else page[at:]

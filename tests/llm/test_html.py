@@ -75,3 +75,11 @@ def test_held_out_pages(spark, folder):
     for r in spark.read.parquet(f"{folder}/pages.parquet").collect():
         article = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         assert got[r.page_id].text == "\n".join(texts(article)) and got[r.page_id].n_chars == len(got[r.page_id].text)
+
+
+def test_head_without_end():
+    assert texts("<head><title>t</title><meta charset=x><p>Article <b>one</b><p>two") == ["Article one", "two"]
+    assert texts("<html><head><title>t</title><link href=x><script>a</script>\n Plain text<p>two") == ["Plain text", "two"]
+    assert texts("<head><title>t</title><a href=x>link</a> text") == ["link text"]
+    assert texts("<head><title>t</title><style>p {}</style> \n </head><body>x") == ["x"]
+    assert texts("<head><noscript><p>no</p></noscript><head><template><p>no</p></template><div>yes</div>") == ["yes"]
