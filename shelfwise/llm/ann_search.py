@@ -116,21 +116,29 @@ def best_in_slot(rows: pa.Table, asked: pa.Table, k: int) -> pa.Table:
         by_bucket = np.lexsort((who, low))
         by_bucket = by_bucket[high[by_bucket] > low[by_bucket]]
         best: dict[int, list] = {}
+        margin = 16 * (vectors.shape[1] + 8) * np.finfo(float).eps  # over what rounding does to a score
+
+        def nearest(q: int, rows: np.ndarray) -> np.ndarray:
+            """The ``k`` + 1 first of the rows by exact cosine and class."""
+            return rows[np.lexsort((classes[rows], -cosines(queries[q], vectors[rows])))[: k + 1]]
+
         edges = np.flatnonzero(np.insert(low[by_bucket][1:] != low[by_bucket][:-1], 0, True)) if len(by_bucket) else []
         for s, e in zip(edges, [*edges[1:], len(by_bucket)]):
             held = order[low[by_bucket[s]] : high[by_bucket[s]]]
             for part in range(s, e, 512):
                 some = who[by_bucket[part : min(e, part + 512)]]
                 scores = near[some] @ directions[held].T
-                take = min(len(held), k + 3)
-                top = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-                for q, row in zip(some.tolist(), top):
-                    best.setdefault(q, []).append(held[row])
+                place = max(0, len(held) - k - 1)
+                border = np.partition(scores, place, axis=1)[:, place] - margin
+                at, column = np.nonzero(scores >= border[:, None])
+                ends = np.searchsorted(at, np.arange(len(some) + 1))
+                for q, b, e in zip(some.tolist(), ends[:-1], ends[1:]):
+                    best.setdefault(q, []).append(held[column[b:e]] if e - b <= k + 3 else nearest(q, held[column[b:e]]))
         for q, parts in best.items():
             held = np.unique(np.concatenate(parts))
-            exact = cosines(queries[q], vectors[held])
-            for i in np.lexsort((classes[held], -exact))[: k + 1]:
-                for column, value in zip(out, (ids[q], classes[held[i]], members[int(held[i])].as_py(), exact[i])):
+            held = nearest(q, held)
+            for i, score in zip(held.tolist(), cosines(queries[q], vectors[held])):
+                for column, value in zip(out, (ids[q], classes[i], members[i].as_py(), score)):
                     column.append(value)
     return pa.table([pa.array(x, t) for x, t in zip(out, kinds)], names=["query_id", "class", "members", "score"])
 

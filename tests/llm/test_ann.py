@@ -63,3 +63,13 @@ def test_recall(spark, folder):
     got = [tuple(r) for r in QUERIES["op1_ann_search"](spark, folder).collect()]
     expected = plain(rows)
     assert len(got) == len(expected) and recall(got, expected) >= 0.9
+
+
+@pytest.mark.parametrize("probes", [400, 1])
+def test_ties_of_different_vectors(spark, probes):
+    """Multiples by powers of two are different vectors of the same cosine; the smallest ids come first."""
+    rng = random.Random(9)
+    ids = rng.sample(range(1, 50), 40)
+    rows = [(0, [1.0, 0.5, 0.25, 0.0])] + [(i, [x * 2.0**n for x in (1.0, 1.0, 0.0, 0.5)]) for n, i in enumerate(ids)]
+    got = ann_search(spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA), hashing=Tables(probes=probes)).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == sorted(ids)[:5]
