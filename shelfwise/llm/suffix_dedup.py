@@ -1,4 +1,4 @@
-"""Suffix-array dedup of bytes: blockwise buckets, ties resolved by difference-cover samples."""
+"""Dedup of byte strings by difference-cover anchors, as in ``substring_dedup``; no suffix array."""
 
 from __future__ import annotations
 
@@ -14,11 +14,8 @@ def suffix_dedup(
 ) -> DataFrame:
     """Cut every byte covered by a string of ``length`` bytes that also starts in a smaller id.
 
-    Suffixes are compared to ``length`` bytes.  The names of the difference-cover sample (positions
-    whose residue modulo ``period`` is in the cover) are made first, over all documents.  Most
-    suffixes meet a sample name of their own within ``period`` bytes, so no tie is open and they are
-    done.  The others are sorted one bucket of suffixes at a time, a task holding one bucket, which
-    bounds memory whatever the length of the ties; equal ones learn the smallest id among them.
+    Anchors at the positions of a difference cover modulo ``period`` find the candidates; whole
+    strings of ``length`` bytes are then compared by fingerprint.  Suffixes are not sorted.
 
     Returns one row for each input row: ``id_col``, ``n_bytes``, ``n_removed``, ``spans`` (maximal
     cut runs, begin and end), ``kept`` (binary) and, if ``carry`` names columns, ``carried``.
