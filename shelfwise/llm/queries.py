@@ -16,9 +16,11 @@ from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.pieces import PieceModel, decode_pieces, encode_pieces
 from shelfwise.llm.quality import classify_quality, train_quality
 from shelfwise.llm.simhash_dedup import simhash_dedup
-from shelfwise.llm.sql import contamination_sql, substring_sql, suffix_sql
+from shelfwise.llm.sql import clusters_sql, codes_sql, contamination_sql, substring_sql, suffix_sql
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
+from shelfwise.llm.threshold_clusters import threshold_clusters
+from shelfwise.llm.vector_codes import vector_codes
 
 #: The model is a parameter of the operator; queries take the public one of this machine.
 PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -116,3 +118,19 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = train_quality(documents, table(spark, folder, "labels"), METADATA)
     return classify_quality(documents, model, METADATA)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
+ORACLES["op11_vector_codes"] = codes_sql()
+
+
+@query
+def op13_threshold_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return threshold_clusters(table(spark, folder, "embeddings")).drop("centroid")
+
+
+ORACLES["op13_threshold_clusters"] = clusters_sql()

@@ -57,3 +57,52 @@ def contamination_sql(window: int = 13, share: int = 20) -> str:
     SELECT doc_id, n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
            coalesce(n_hit, 0) > 0 AND {share} * coalesce(n_hit, 0) >= n_words AS contaminated
     FROM sizes LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+def _integers(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """Plain assignment of every part to every entry."""
+    away = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (SELECT i, b.p, min(CAST({away} AS BIGINT) * {entries} + e) AS k FROM cut JOIN book{r} b USING (p) GROUP BY i, b.p)""")
+        if r < rounds:
+            steps.append(f"""mean{r} AS (SELECT p, e, list(m ORDER BY j) AS c FROM (
+                SELECT p, e, j, CAST(floor(sum(y) / count(*)) AS BIGINT) AS m FROM (
+                    SELECT n.p, n.k % {entries} AS e, unnest(x) AS y, unnest(range(len(x))) AS j FROM near{r} n JOIN cut USING (i, p)) GROUP BY p, e, j) GROUP BY p, e),
+            book{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m ON m.p = b.p AND m.e = b.e)""")
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS i, vec_id, label, {_integers(scale)} AS v FROM embeddings WHERE {FINITE}),
+    cut AS MATERIALIZED (SELECT i, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) t(p)),
+    book0 AS MATERIALIZED (SELECT p, i AS e, x AS c FROM cut WHERE i < {entries}),
+    {", ".join(steps)},
+    coded AS (SELECT i, string_agg(printf('%02x', k % {entries}), '' ORDER BY p) AS code, CAST(sum(k // {entries}) AS BIGINT) AS error FROM near{rounds} GROUP BY i),
+    digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
+    SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM digest) AS codebooks_sha256
+    FROM coded JOIN kept USING (i)"""
+
+
+def clusters_sql(clusters: int = 40, dims: int = 64, rounds: int = 5, scale: int = 256, seed: str = "2") -> str:
+    """Plain assignment of every vector to every centroid."""
+    away = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"near{r} AS MATERIALIZED (SELECT i, min(CAST({away} AS BIGINT) * {clusters} + e) AS k FROM kept, book{r} GROUP BY i)")
+        if r < rounds:
+            steps.append(f"""mean{r} AS (SELECT e, list(m ORDER BY j) AS c FROM (
+                SELECT e, j, CAST(floor(sum(y) / count(*)) AS BIGINT) AS m FROM (
+                    SELECT k % {clusters} AS e, unnest(v) AS y, unnest(range(len(v))) AS j FROM near{r} JOIN kept USING (i)) GROUP BY e, j) GROUP BY e),
+            book{r + 1} AS MATERIALIZED (SELECT b.e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m ON m.e = b.e)""")
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS i, vec_id, {_integers(scale)} AS v
+        FROM embeddings WHERE {FINITE} AND len(embedding) = {dims}),
+    book0 AS MATERIALIZED (SELECT i AS e, v AS c FROM kept WHERE i < {clusters}),
+    {", ".join(steps)},
+    assigned AS (SELECT i, CAST(k % {clusters} AS INT) AS cluster, k // {clusters} AS distance FROM near{rounds})
+    SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM assigned JOIN kept USING (i) JOIN book{rounds} ON e = cluster"""
