@@ -12,11 +12,12 @@ from shelfwise.llm.common import hex_digest, short_batches
 from shelfwise.llm.decontaminate import decontaminate
 from shelfwise.llm.html_extract import extract_text, labelled_pages, seed_pages, train_chain
 from shelfwise.llm.licenses import license_scan, license_sql
+from shelfwise.llm.jaccard_join import jaccard_join
 from shelfwise.llm.lm_scoring import score_texts
 from shelfwise.llm.pieces import PieceModel, decode_pieces, encode_pieces
 from shelfwise.llm.quality import classify_quality, train_quality
 from shelfwise.llm.simhash_dedup import simhash_dedup
-from shelfwise.llm.sql import clusters_sql, codes_sql, contamination_sql, substring_sql, suffix_sql
+from shelfwise.llm.sql import clusters_sql, codes_sql, contamination_sql, jaccard_sql, substring_sql, suffix_sql
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.suffix_dedup import suffix_dedup
 from shelfwise.llm.threshold_clusters import threshold_clusters
@@ -128,6 +129,14 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op11_vector_codes"] = codes_sql()
 
 
+@query
+def op12_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(table(spark, folder, "documents"))
+
+
+ORACLES["op12_jaccard_join"] = jaccard_sql()
+
+
 @query
 def op13_threshold_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return threshold_clusters(table(spark, folder, "embeddings")).drop("centroid")

@@ -106,3 +106,16 @@ def clusters_sql(clusters: int = 40, dims: int = 64, rounds: int = 5, scale: int
     SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
            sha256(array_to_string(c, ',')) AS centroid_sha256
     FROM assigned JOIN kept USING (i) JOIN book{rounds} ON e = cluster"""
+
+
+def jaccard_sql(size: int = 5, percent: int = 80) -> str:
+    """All pairs that share a shingle, counted; then the smallest id by steps over the links."""
+    return f"""WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array({LOWERED}, '{SPACES}'), lambda x: x <> '') AS w FROM documents),
+    shingles AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {size - 2}, 2))) AS i FROM words WHERE len(w) > 0)),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    links AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+        JOIN sizes m ON m.doc_id = a JOIN sizes o ON o.doc_id = b WHERE 100 * k >= {percent} * (m.n + o.n - k)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)"""
