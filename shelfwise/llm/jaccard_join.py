@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwise.llm import exchange
 from shelfwise.llm.common import bytes_of, id_and_text, in_blocks, staged
 from shelfwise.llm.components import components
-from shelfwise.llm.linking import connected, distinct_prints, in_parts, shingle_prints, similar
+from shelfwise.llm.linking import connected, distinct_prints, in_parts, shingle_prints
 from shelfwise.llm.repeats import BASE, grouped, mix
 
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -143,18 +143,18 @@ class Job:
         return kinds
 
     def sign(self, table: pa.Table, answers: pa.Table) -> pa.Table:
-        """Size and keys of each node."""
-        kind = pa.list_(pa.int64())
+        """Size, shingles that are in no other text, and keys of each node."""
+        kind, names = pa.list_(pa.int64()), ["node", "size", "alone", "keys"]
         if not len(table):
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], kind)], names=["node", "size", "keys"])
+            return pa.table([*[pa.array([], pa.int64())] * 3, pa.array([], kind)], names=names)
         table, prints, starts = self.block(table)
         keys, group = np.unique(self.short(prints), return_inverse=True)
         kinds = self.kinds(keys, answers)[group]
-        alone = np.concatenate([[0], np.cumsum(kinds == ALONE)])[starts]
+        alone = np.diff(np.concatenate([[0], np.cumsum(kinds == ALONE)])[starts])
         sizes = np.diff(starts)
-        worth = (sizes > 0) & (np.diff(alone) <= self.prefixes.spare(sizes))
+        worth = (sizes > 0) & (alone <= self.prefixes.spare(sizes))
         made = [self.prefixes.keys(prints[s:e], kinds[s:e]).view(np.int64) if w else [] for s, e, w in zip(starts[:-1], starts[1:], worth)]
-        return pa.table([table.column("id"), pa.array(sizes, pa.int64()), pa.array(made, kind)], names=["node", "size", "keys"])
+        return pa.table([table.column("id"), pa.array(sizes, pa.int64()), pa.array(alone, pa.int64()), pa.array(made, kind)], names=names)
 
 
 def jaccard_join(
@@ -170,7 +170,7 @@ def jaccard_join(
     2. Blocks of nodes send each distinct fingerprint once, with the number of nodes; buckets answer with its class.
     3. Most nodes hold more shingles that no other does than a linked one may lack.  They have no keys and go no
        further.  The others have the keys of :class:`Prefixes`; nodes that share one are candidates.
-    4. Candidates of a key are connected by rounds of representatives (``linking``), verified on their words.
+    4. Candidates are connected by representatives of the keys (``linking``), verified on their words.
 
     All links are kept that connect different groups; none is sought by chance, so the result is exact.  Texts that
     are null, empty or without words have no set and link with nothing.  Rows without an id belong to the component of
@@ -186,14 +186,11 @@ def jaccard_join(
     width = min(62, max(24, (count * block_bytes // 4).bit_length() + 6))
     job = Job(prefixes, max(0, (count - 1).bit_length()), width)
     told = staged(exchange.ask(blocks.groupBy("block").applyInArrow(lambda b: job.send(b), exchange.REQUEST), lambda b: prefixes.classes(b)), "classes")
-    signed = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda b, a: job.sign(b, a), "node long, size long, keys array<long>")
+    signed = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda b, a: job.sign(b, a), "node long, size long, alone long, keys array<long>")
     signed = staged(signed, "signed")
 
-    def may(one: Column, other: Column) -> Column:
-        return F.least(one, other) * 100 >= F.greatest(one, other) * prefixes.percent
-
-    members = signed.select("node", "size", F.explode("keys").alias("key"))
-    links = connected(members, texts.withColumnRenamed("id", "node"), lambda batch: similar(batch, prefixes.size, prefixes.percent), may)
+    members = signed.select("node", "size", "alone", F.explode("keys").alias("key"))
+    links = connected(members, texts.withColumnRenamed("id", "node"), prefixes.size, prefixes.percent)
     named = nodes.select("node", "words", "least").join(components(links).distinct(), "node", "left").withColumn("group", F.coalesce("component", "node"))
     smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
     known = staged(named.join(signed.select("node", "size"), "node").join(smallest, "group").select("words", "size", "component_id"), "named")

@@ -109,19 +109,49 @@ def test_shingle_prints():
     assert [len(x) for x in sets] == [len(shingles(t)) for t in texts]
 
 
-def test_rounds_cost_rows_not_pairs(spark):
-    """A key of a crowd that links and some strangers: every stranger meets all, the crowd's own pairs stay out."""
-    crowd_of = lambda x: 0 if x < 600 else x
-    nodes = [(1, x, 10) for x in range(610)] + [(2, x, 10) for x in (5, 400, 605, 606)]
-    members = spark.createDataFrame(nodes, "key long, node long, size long")
-    texts = spark.createDataFrame([(x, f"{x} {crowd_of(x)}") for x in range(610)], "node long, text string")
+def variants(seed, copies, words, least, most):
+    """Texts that each differ from one in ``least`` to ``most`` words."""
+    rng = random.Random(seed)
+    base = [f"{seed}w{i}" for i in range(words)]
+    for n in range(copies):
+        text = base[:]
+        for at in rng.sample(range(words), rng.randint(least, most)):
+            text[at] = f"{seed}v{n}w{at}"
+        yield " ".join(text)
+
+
+@pytest.mark.parametrize("blocks", [(1 << 20, 16 << 20), (100, 400)])
+def test_groups_cost_rows_not_pairs(spark, blocks, monkeypatch):
+    """Near copies, some too far from all others: nearly all pairs are settled by bits, and none wrongly."""
+    texts = [*variants(1, 80, 100, 0, 6), *variants(2, 60, 60, 1, 4), *variants(3, 30, 40, 3, 5)]
     compared = spark.sparkContext.accumulator(0)
+    plain = linking.compared
 
-    def verify(batch):
+    def counted(batch, *given):
         compared.add(batch.num_rows)
-        return [x.as_py().split()[1] == y.as_py().split()[1] for x, y in zip(batch.column("one"), batch.column("other"))]
+        return plain(batch, *given)
 
-    links = linking.connected(members, texts, verify)
+    monkeypatch.setattr(linking, "compared", counted)
+    members = [(key, n, len(shingles(t)), 0) for n, t in enumerate(texts) for key in {int(t.split("w")[0].split("v")[0]), n % 5 + 10}]
+    nodes = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "node long, text string")
+    links = linking.connected(spark.createDataFrame(members, "key long, node long, size long, alone long"), nodes, 5, 80, *blocks)
     groups = {r.node: r.component for r in components(links).distinct().collect()}
-    assert {x: groups.get(x, x) for x in range(610)} == {x: crowd_of(x) for x in range(610)}
-    assert 6600 <= compared.value < 7000  # of 185,745 pairs
+    assert [groups.get(n, n) for n in range(len(texts))] == plain_components([*enumerate(texts)])
+    assert compared.value < 2500  # of 5,365 pairs within the three kinds
+
+
+def test_bits_bound_what_sets_share():
+    """No pair that links is turned down by what both have of a third set."""
+    rng = np.random.default_rng(6)
+    third = np.unique(rng.integers(0, 1 << 60, 90, dtype=np.uint64))
+    rows = []
+    for n in range(60):
+        kept = third[rng.random(len(third)) > rng.uniform(0, 0.3)]
+        other = rng.integers(0, 1 << 60, rng.integers(0, 20), dtype=np.uint64) if n % 3 else rows[n - 1][-1][-5:] if n else third[:0]
+        own = np.unique(np.concatenate([kept, other]))
+        has = np.isin(third, own)
+        rows.append((n, n, len(own), len(own) - int(has.sum()), np.packbits(np.pad(has, (0, -len(has) % 64))).tobytes(), own))
+    table = pa.table([pa.array(c) for c in zip(*[r[:5] for r in rows])], names=["node", "group", "size", "free", "bits"])
+    found = {*zip(*(x.tolist() for x in linking.possible(table, table, 80)))}
+    linked = {(a, b) for a in range(60) for b in range(60) if a != b and linking.enough(len(np.intersect1d(rows[a][5], rows[b][5])), rows[a][2], rows[b][2], 80)}
+    assert linked and linked <= found and len(found) < 60 * 59 * 0.8
