@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfwise.functions.selection import ACCURACY, middle, order_statistics
 from shelfwise.session import stage
 
 
@@ -90,17 +91,6 @@ def hashed_rank(
     )
 
 
-def ntile(rank: Column, total: Column, tiles: int) -> Column:
-    """Tile of a row by rank; the first tiles take the surplus rows."""
-    base, surplus = F.floor(total / tiles), total % tiles
-    in_large = rank <= surplus * (base + 1)
-    return (
-        F.when(in_large, F.floor((rank - 1) / (base + 1)) + 1)
-        .otherwise(F.floor((rank - 1 - surplus * (base + 1)) / F.greatest(base, F.lit(1))) + surplus + 1)
-        .cast("int")
-    )
-
-
 def first_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int = 64
 ) -> DataFrame:
@@ -135,80 +125,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], ordinal: Column) -> DataFr
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 100_000) -> DataFrame:
-    """One row per column: ``column``, ``n``, ``median`` (NULLs left out).
-
-    Percentile sketches bound the middle from both sides; only values between
-    the bounds are counted one by one, everything below as a single group.
-    """
-    slack = 2.0 / accuracy
-    sketch = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.percentile_approx(
-                    F.col(c).cast("double"), [0.5 - slack, 0.5 + slack], F.lit(accuracy)
-                ).alias("b"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    # One row per listed column.
-    bounds = sketch.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(f"`{c}`.n").alias("n"),
-                        F.col(f"`{c}`.b")[0].alias("low"),
-                        F.col(f"`{c}`.b")[1].alias("high"),
-                    )
-                    for c in columns
-                ]
-            )
-        ).alias("x")
-    ).select("x.*")
-    values = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("x")
-    ).select("x.*")
-    counted = (
-        values.where(F.col("value").isNotNull())
-        .join(F.broadcast(bounds), "column")
-        .where(F.col("value") <= F.col("high"))
-        .withColumn("value", F.when(F.col("value") >= F.col("low"), F.col("value")))
-        .groupBy("column", "n", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    upto = F.sum("rows").over(
-        Window.partitionBy("column", "n").orderBy(F.col("value").asc_nulls_first())
-    )
-    lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-
-    def at(place: Column) -> Column:
-        inside = (F.col("upto") >= place) & (F.col("upto") - F.col("rows") < place)
-        return F.max(F.when(inside, F.col("value")))
-
-    found = (
-        counted.withColumn("upto", upto)
-        .groupBy("column", "n")
-        .agg(((at(lower) + at(upper)) / 2).alias("median"))
-    )
-    return bounds.select("column", "n").join(found.drop("n"), "column", "left")
+def medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY) -> dict[str, float | None]:
+    """The exact median of each column, NULLs left out."""
+    found, _ = order_statistics(df, {c: middle for c in columns}, accuracy)
+    return {c: (found[c][0].low + found[c][1].low) / 2 if found[c] else None for c in columns}
 
 
-def one_row(long: DataFrame, columns: Sequence[str], value: str = "median") -> DataFrame:
-    """The long form of ``exact_medians`` as one row with a field per column."""
-    return long.agg(
-        *[F.max(F.when(F.col("column") == c, F.col(value))).alias(c) for c in columns]
-    )
+def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
+    """One row per column: ``column``, ``n``, ``median`` (NULLs left out)."""
+    found, counts = order_statistics(df, {c: middle for c in columns}, accuracy)
+    rows = [(c, counts[c], (found[c][0].low + found[c][1].low) / 2 if found[c] else None) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "column string, n long, median double")
 
 
 def scalar_struct(row: DataFrame) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import lexicon
 from shelfwise.functions import catalog, numeric, text
-from shelfwise.functions.ranking import exact_medians, one_row, scalar_struct
+from shelfwise.functions.ranking import medians
 from shelfwise.sources.readers import select_existing
 
 
@@ -32,15 +32,12 @@ def with_parsed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """NULL → the column's exact median, looked up as a scalar subquery."""
+    """NULL → the column's exact median."""
     columns = present(df, columns)
     if not columns:
         return df
-    medians = scalar_struct(one_row(exact_medians(df, columns), columns))
-    looked_up = df.withColumn("_medians", medians)
-    return looked_up.withColumns(
-        {c: F.coalesce(F.col(c), F.col("_medians")[c]) for c in columns}
-    ).drop("_medians")
+    found = medians(df, columns)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(found[c])) for c in columns if found[c] is not None})
 
 
 def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

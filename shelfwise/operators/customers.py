@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.functions.ranking import global_rank, ntile
+from shelfwise.functions.selection import even_tiles
 from shelfwise.session import stage
 
 
@@ -22,23 +22,19 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, tiles: int = 5) -> Dat
         F.sum("amount").alias("monetary"),
     )
     base = stage(customers.select("User_ID", "email").join(per_customer, "User_ID"), "rfm")
-    latest = base.agg(F.max("last_order")).scalar()
-    ranked = base.withColumn("recency", F.date_diff(latest, F.col("last_order")))
-    total = base.agg(F.count(F.lit(1))).scalar()
-    for measure, order in [
-        ("recency", F.desc("recency")),
-        ("frequency", F.asc("frequency")),
-        ("monetary", F.asc("monetary")),
-    ]:
-        ranked = global_rank(ranked, order, F.asc("User_ID"), name=f"{measure}_rank")
-    scores = {m: ntile(F.col(f"{m}_rank"), total, tiles) for m in ["recency", "frequency", "monetary"]}
-    longest = base.agg(F.date_diff(latest, F.min("last_order"))).scalar()
-    return ranked.select(
+    latest, longest = base.agg(F.max("last_order"), F.date_diff(F.max("last_order"), F.min("last_order"))).first()
+    aged = base.withColumn("recency", F.date_diff(F.lit(latest), F.col("last_order")))
+    measures = {
+        "_recency": F.coalesce(-F.col("recency"), F.lit(float("inf"))),
+        "_frequency": F.col("frequency"),
+        "_monetary": F.col("monetary"),
+    }
+    return even_tiles(aged, measures, "User_ID", tiles).select(
         "User_ID",
         "email",
         "recency",
         "frequency",
         "monetary",
-        (scores["recency"] * 100 + scores["frequency"] * 10 + scores["monetary"]).alias("rfm_segment"),
-        F.coalesce(F.try_divide("recency", longest), F.lit(0.0)).alias("churn_probability"),
+        (F.col("_recency") * 100 + F.col("_frequency") * 10 + F.col("_monetary")).alias("rfm_segment"),
+        F.coalesce(F.try_divide(F.col("recency"), F.lit(longest)), F.lit(0.0)).alias("churn_probability"),
     )

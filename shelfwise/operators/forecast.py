@@ -5,18 +5,17 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import astuple, replace
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise import lexicon
 from shelfwise.functions import catalog
 from shelfwise.functions.numeric import coerce_double
+from shelfwise.operators.boosting import BoostedModel, Booster, BoostParams, Fit, fit_boosted, search_boosted
 from shelfwise.operators.cleaning import present
 from shelfwise.operators.evaluate import regression_metrics
 from shelfwise.operators.folds import fold_count, kfold
@@ -67,17 +66,6 @@ def forecast_dataset(products: DataFrame, scored: DataFrame | None = None) -> Da
     )
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    """Boosted trees; MLlib has no L2 term on leaf weights."""
-
-    n_estimators: int = 100
-    max_depth: int = 5
-    learning_rate: float = 0.1
-    subsample: float = 1.0
-    colsample: float = 1.0
-
-
 # The search ranges.
 SEARCH = {
     "n_estimators": (50, 300),
@@ -85,11 +73,12 @@ SEARCH = {
     "learning_rate": (0.01, 0.2),
     "subsample": (0.7, 1.0),
     "colsample": (0.7, 1.0),
+    "reg_lambda": (0.1, 10.0),
 }
 
 
 def random_params(trials: int, seed: int = 42, search: dict | None = None) -> list[BoostParams]:
-    """Seeded draws from the ranges; the learning rate on a log scale."""
+    """Seeded draws from the ranges; the learning rate and the penalty on a log scale."""
     ranges, draw = {**SEARCH, **(search or {})}, random.Random(seed)
     return [
         BoostParams(
@@ -98,24 +87,12 @@ def random_params(trials: int, seed: int = 42, search: dict | None = None) -> li
             learning_rate=math.exp(draw.uniform(*map(math.log, ranges["learning_rate"]))),
             subsample=draw.uniform(*ranges["subsample"]),
             colsample=draw.uniform(*ranges["colsample"]),
+            reg_lambda=math.exp(draw.uniform(*map(math.log, ranges["reg_lambda"]))),
         )
         for _ in range(trials)
     ]
 
 
-def boosted(params: BoostParams = BoostParams(), seed: int = 42) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol="target",
-        maxIter=params.n_estimators,
-        maxDepth=params.max_depth,
-        stepSize=params.learning_rate,
-        subsamplingRate=params.subsample,
-        featureSubsetStrategy="all" if params.colsample >= 1 else f"{params.colsample:.4f}",
-        seed=seed,
-        cacheNodeIds=False,
-    )
-
-
 def on_features(estimator: Estimator, features: Sequence[str] = lexicon.FORECAST_FEATURES) -> Pipeline:
     """The features as one vector in their order, then the estimator."""
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator])
@@ -127,49 +104,38 @@ def training_rows(dataset: DataFrame, key: str = "Product_ID", folds: int | None
     filled = stage(dataset.select(key, "target", *features).na.fill(0.0, features), "dataset")
     require_rows(filled, 5)
     k = folds or fold_count(filled.limit(5).count())
-    rows = kfold(filled, key, k)
-    return stage(rows, "training", even=True).persist()
+    return stage(kfold(filled, key, k), "training", even=True)
+
 
+def row_key(rows: DataFrame) -> str:
+    """The column that names a row: what is no feature, target or fold."""
+    return next(c for c in rows.columns if c not in {*lexicon.FORECAST_FEATURES, "target", "fold"})
 
-def train_forecast(rows: DataFrame, params: BoostParams = BoostParams()) -> PipelineModel:
-    return on_features(boosted(params)).fit(rows)
+
+def used(rows: DataFrame, features: Sequence[str] = lexicon.FORECAST_FEATURES) -> list[str]:
+    return present(rows, features)
+
+
+def train_forecast(rows: DataFrame, params: BoostParams = BoostParams()) -> BoostedModel:
+    return fit_boosted(rows, used(rows), [params], row_key(rows))[0]
 
 
 def tune_forecast(
-    rows: DataFrame, trials: int = 40, seed: int = 42, search: dict | None = None, parallelism: int = 4
+    rows: DataFrame, trials: int = 40, seed: int = 42, search: dict | None = None
 ) -> tuple[DataFrame, BoostParams]:
-    """Mean fold RMSE of every drawn parameter set, and the best set."""
+    """Fold error of every drawn parameter set, and the best set with the number of trees where it was least.
+
+    ``trees`` is where a set was judged (see ``boosting.search_boosted``), ``grown`` how far it came; ``rmse`` is its mean
+    over the folds there.
+    """
     drawn = random_params(trials, seed, search)
-    base = boosted()
-    maps = [
-        {
-            base.maxIter: p.n_estimators,
-            base.maxDepth: p.max_depth,
-            base.stepSize: p.learning_rate,
-            base.subsamplingRate: p.subsample,
-            base.featureSubsetStrategy: "all" if p.colsample >= 1 else f"{p.colsample:.4f}",
-        }
-        for p in drawn
-    ]
-    folds = rows.agg(F.max("fold")).first()[0] + 1
-    search_run = CrossValidator(
-        estimator=on_features(base),
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol="target", metricName="rmse"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    ).fit(rows)
-    scored = [
-        {"trial": i, **asdict(p), "rmse": float(rmse)}
-        for i, (p, rmse) in enumerate(zip(drawn, search_run.avgMetrics))
-    ]
-    best = drawn[min(scored, key=lambda r: r["rmse"])["trial"]]
+    found, best = search_boosted(rows, used(rows), drawn, row_key(rows))
+    scored = [(t.number, *astuple(t.params), t.best()[1], len(t.fits[0].trees), t.best()[0], t is best) for t in found]
     schema = (
-        "trial int, n_estimators int, max_depth int, learning_rate double, "
-        "subsample double, colsample double, rmse double"
+        "trial int, n_estimators int, max_depth int, learning_rate double, subsample double, colsample double, "
+        "reg_lambda double, trees int, grown int, rmse double, chosen boolean"
     )
-    return rows.sparkSession.createDataFrame(scored, schema), best
+    return rows.sparkSession.createDataFrame(scored, schema), replace(best.params, n_estimators=best.best()[1])
 
 
 def fold_predictions(rows: DataFrame, pipeline: Pipeline) -> DataFrame:
@@ -185,8 +151,31 @@ def fold_predictions(rows: DataFrame, pipeline: Pipeline) -> DataFrame:
     )
 
 
+def boosted_predictions(rows: DataFrame, sets: Sequence[tuple[str, BoostParams, Sequence[str]]]) -> DataFrame:
+    """``method, fold, target, prediction``: each row by models that have not seen its fold.
+
+    The models of all sets (name, parameters, features) and folds grow in the same passes.
+    """
+    features = used(rows)
+    booster = Booster(rows, features, row_key(rows))
+    at = {c: i for i, c in enumerate(features)}
+    fits = [
+        (name, Fit(params, fold, columns=tuple(at[c] for c in chosen if c in at)))
+        for name, params, chosen in sets
+        for fold in sorted(booster.folds)
+    ]
+    booster.start([f for _, f in fits])
+    booster.grow([f for _, f in fits], max(f.params.n_estimators for _, f in fits))
+    return union_all(
+        [
+            booster.model(fit).transform(rows.where(F.col("fold") == fit.fold)).select(F.lit(name).alias("method"), "fold", "target", "prediction")
+            for name, fit in fits
+        ]
+    )
+
+
 def cv_metrics(rows: DataFrame, params: BoostParams = BoostParams()) -> DataFrame:
-    return regression_metrics(fold_predictions(rows, on_features(boosted(params))))
+    return regression_metrics(boosted_predictions(rows, [("boosted", params, lexicon.FORECAST_FEATURES)]))
 
 
 def baseline_predictions(rows: DataFrame) -> DataFrame:
@@ -211,12 +200,15 @@ def compare_forecasts(
         "forest": lambda: fold_predictions(
             rows, on_features(RandomForestRegressor(labelCol="target", numTrees=trees, seed=42))
         ),
-        "boosted": lambda: fold_predictions(rows, on_features(boosted(default))),
-        "boosted_tuned": lambda: fold_predictions(rows, on_features(boosted(tuned))),
-        "boosted_tuned_no_sentiment": lambda: fold_predictions(rows, on_features(boosted(tuned), without)),
     }
+    boosted = [
+        ("boosted", default, lexicon.FORECAST_FEATURES),
+        ("boosted_tuned", tuned, lexicon.FORECAST_FEATURES),
+        ("boosted_tuned_no_sentiment", tuned, without),
+    ]
     scored = union_all(
         [predict().select(F.lit(name).alias("method"), "fold", "target", "prediction") for name, predict in fitted.items()]
+        + [boosted_predictions(rows, boosted)]
     )
     return (
         regression_metrics(scored, ["method", "fold"])
@@ -267,7 +259,7 @@ def forecast_horizon(requests: DataFrame, start: str, days: int = 7) -> DataFram
 
 
 def forecast_days(
-    requests: DataFrame, model: PipelineModel, start: str, days: int = 7
+    requests: DataFrame, model: BoostedModel | PipelineModel, start: str, days: int = 7
 ) -> DataFrame:
     """Day by day, all requests at once; each prediction is the next day's lag."""
     state = request_features(valid_requests(requests)).withColumn("Sales_Volume_7d_mean", F.lit(0.0))

@@ -1,12 +1,15 @@
 """Exact ranks, medians and tops, with one value holding a third of the rows."""
 
+import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
-from shelfwise.functions import ranking
+from shelfwise.functions import ranking, selection
 from shelfwise.operators import folds
 
 
@@ -73,11 +76,49 @@ def test_stratified_split(skewed):
     assert all(abs(t - 0.15 * n) <= 0.5 for t, n in per.values())
 
 
-def test_ntile(spark):
-    for n in (3, 5, 13, 20):
-        df = spark.range(1, n + 1).select(F.col("id").alias("r"), ranking.ntile(F.col("id"), F.lit(n), 5).alias("t"))
-        expected = spark.sql(f"select id as r, ntile(5) over (order by id) as t from range(1, {n + 1})")
-        assert df.exceptAll(expected).count() == 0
+@pytest.mark.parametrize("n", [1, 3, 5, 23, 400])
+def test_even_tiles(spark, n):
+    """As ntile over all rows, with long ties at the cuts, for keys of text and of whole numbers."""
+    rows = [(f"k{i * 7919 % 1000}", i * 7919 % 1000 - 500, float(i % 4), i * 31 % 17 if i % 5 else None) for i in range(n)]
+    df = spark.createDataFrame(rows, "key string, number long, v double, w int")
+    for key in ["key", "number"]:
+        found = selection.even_tiles(df, {"a": F.col("v"), "b": -F.col("v"), "c": F.col("w")}, key, 5)
+        df.createOrReplaceTempView("tiled")
+        sql = f"ntile(5) OVER (ORDER BY v, {key}) AS a, ntile(5) OVER (ORDER BY -v, {key}) AS b, ntile(5) OVER (ORDER BY w NULLS FIRST, {key}) AS c"
+        expected = spark.sql(f"SELECT *, {sql} FROM tiled")
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_order_statistics(spark):
+    rng = random.Random(9)
+    odd = [float("-inf")] * 3 + [float("inf")] * 5 + [float("nan")] * 2 + [1e308, -1e308, 5e-324, -5e-324, 0.0, -0.0]
+    values = odd + [rng.choice([rng.gauss(0, 1), rng.gauss(0, 1) * 10.0 ** rng.randint(-300, 300), 7.0, float(rng.randint(0, 9))]) for _ in range(3000)]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(v, None if i % 3 else v) for i, v in enumerate(values)], "v double, w double").repartition(5)
+    for accuracy in [20, 100_000]:
+        found, counts = selection.order_statistics(df, {"v": lambda n: list(range(1, n + 1, 97)) + [n], "w": lambda n: [1, n]}, accuracy)
+        ordered = sorted(values, key=lambda v: (math.isnan(v), v))
+        for p in found["v"]:
+            assert str(p.low + 0.0) == str(ordered[p.place - 1] + 0.0) and p.below < p.place <= p.below + p.ties
+            assert p.below == sum(v < p.low for v in values) or math.isnan(p.low)
+        assert counts == {"v": len(values), "w": len(values[::3])} and [p.place for p in found["w"]] == [1, counts["w"]]
+    assert selection.order_statistics(df.limit(0), {"v": selection.middle})[0] == {"v": []}
+
+
+def test_median_of_many_different_values(spark, monkeypatch):
+    """The driver gets a bounded number of rows a pass, and nothing is sorted."""
+    n, passes = 10_000_000, []
+    collect = DataFrame.collect
+
+    def counted(df):
+        assert "Window" not in df._jdf.queryExecution().toString()
+        passes.append(len(rows := collect(df)))
+        return rows
+
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    df = spark.range(n).select(((F.col("id") * 7919) % 10_000_019 / 7).alias("v"))
+    assert ranking.medians(df, ["v"]) == {"v": float(np.median(np.arange(n) * 7919 % 10_000_019 / 7))}
+    assert max(passes) <= 2 * (selection.STEPS + 4)
 
 
 def test_rows_without_group_or_key_stay(spark):
