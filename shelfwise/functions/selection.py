@@ -44,8 +44,9 @@ class Place:
     def step_of(self, value: Column) -> Column:
         """Step between the bounds; infinities and NaN have steps of their own at the ends."""
         ends = [max(-LARGEST, min(LARGEST, x)) if not math.isnan(x) else LARGEST for x in (self.low, self.high)]
-        low, width = ends[0] / 2, ends[1] / 2 - ends[0] / 2  # halves, so that no difference overflows
-        inside = F.floor((value / 2 - F.lit(low)) / F.lit(width) * STEPS) if width else F.lit(0)
+        part = 1.0 if ends[1] - ends[0] < INFINITE else 0.5  # halves, where the difference overflows
+        low, width = ends[0] * part, ends[1] * part - ends[0] * part
+        inside = F.floor((value * part - F.lit(low)) / F.lit(width) * STEPS) if width else F.lit(0)
         return F.when(F.isnan(value), STEPS + 2).when(value == INFINITE, STEPS + 1).when(value == -INFINITE, -1).otherwise(inside).cast("int")
 
 

@@ -162,6 +162,36 @@ def neighbours(words: Column) -> Column:
     return F.zip_with(words, rest, lambda a, b: F.struct(a.alias("first"), b.alias("second")))
 
 
+def segment(col: Column, phrases: Iterable[str]) -> Column:
+    """Words with the listed phrases joined by ``_``: from the left, the longest one each time.
+
+    Phrases are two to nine words joined by spaces, in any number.  Every place of a row looks up the longest
+    phrase that begins there; its length is one digit of a string, which one pattern takes apart from the left.
+    So the cost follows the length of the text, and nothing leaves the row.
+    """
+    sizes = {p: len(p.split(" ")) for p in phrases if 2 <= len(p.split(" ")) <= 9}
+    if not sizes:
+        return F.array_join(tokens(F.coalesce(col, F.lit(""))), " ")
+    lengths = sorted(set(sizes.values()), reverse=True)
+    listed = {p: str(n) for p, n in sizes.items()}
+    pattern = "|".join(f"{n}.{{{n - 1}}}" for n in lengths) + "|1"
+
+    def with_name(value: Column, use) -> Column:
+        """``use(value)`` with the value computed once a row."""
+        return F.get(F.transform(F.array(value), use), 0)
+
+    def joined(words: Column) -> Column:
+        begins = F.transform(
+            words,
+            lambda _, i: F.coalesce(*[_lookup(F.array_join(F.slice(words, i + 1, F.lit(n)), " "), listed) for n in lengths], F.lit("1")),
+        )
+        taken = F.regexp_extract_all(F.array_join(begins, ""), F.lit(pattern), F.lit(0))
+        marks = F.flatten(F.transform(taken, lambda t: F.concat(F.array_repeat(F.lit("_"), F.length(t) - 1), F.array(F.lit(" ")))))
+        return F.rtrim(F.array_join(F.zip_with(words, marks, lambda w, m: F.concat(w, m)), ""))
+
+    return with_name(tokens(F.coalesce(col, F.lit(""))), joined)
+
+
 def word_ngrams(col: Column, sizes: Iterable[int] = (1, 2)) -> Column:
     """Space-joined runs of neighbouring words, for each size.
 

@@ -4,6 +4,8 @@ Rows are binned once and stored as one byte a feature.  A pass over them grows o
 every model at hand: tasks add up gradients and counts (the Hessian of a squared error) by node, feature and
 bin, a shuffle adds the tasks' sums by model, and the best splits, not the sums, come back.  A search over
 parameter sets and folds so costs the passes of its deepest model, and weak sets leave after a few trees.
+A table so small that it is one partition needs no shuffle between levels: it is copied for each core, models are
+dealt over the copies, and a pass grows several trees.  The models are the same either way.
 
 Gradients are whole multiples of a power of two, so their sums are exact: neither the number of tasks nor
 their order changes a model.
@@ -19,6 +21,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.session import settings, stage
@@ -113,12 +116,12 @@ class Fit:
     stored: int = 0  # trees whose sum the table holds
     errors: list[float] = field(default_factory=list)  # root mean squared error of the fold, by the number of trees
 
-    def offered(self, width: int) -> np.ndarray:
-        """Which features the next tree may split on."""
+    def offered(self, width: int, tree: int) -> np.ndarray:
+        """Which features a tree may split on."""
         columns = list(self.columns or range(width))
         few = max(1, int(self.params.colsample * len(columns)))
         mask = np.zeros(width, bool)
-        mask[random.Random(f"{self.seed} {len(self.trees)}").sample(columns, few)] = True
+        mask[random.Random(f"{self.seed} {tree}").sample(columns, few)] = True
         return mask
 
 
@@ -187,6 +190,19 @@ def level_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray, row: np.ndarray,
     return np.stack(sums).reshape(2, 1 << grow.level, width, bins), error, held
 
 
+def packed_sums(sums: np.ndarray) -> bytes:
+    """Places, gradients and counts of what isn't zero."""
+    at = np.flatnonzero(sums[1].ravel()).astype(np.int32)
+    return at.tobytes() + sums[1].ravel()[at].astype(np.int32).tobytes() + sums[0].ravel()[at].tobytes()
+
+
+def add_packed(total: np.ndarray, data: bytes) -> None:
+    n = len(data) // 16
+    at, counts = np.frombuffer(data, np.int32, n), np.frombuffer(data, np.int32, n, 4 * n)
+    total[0].ravel()[at] += np.frombuffer(data, np.float64, n, 8 * n)
+    total[1].ravel()[at] += counts
+
+
 def best_splits(sums: np.ndarray, offered: np.ndarray, penalty: float, scale: float) -> list[tuple[int, int, float, float, float, float]]:
     """For each node its best feature and cut (-1: none), its sums and those of the values up to the cut."""
     g, h = sums[0] / scale, sums[1]
@@ -205,6 +221,24 @@ def best_splits(sums: np.ndarray, offered: np.ndarray, penalty: float, scale: fl
     return found
 
 
+def place_splits(tree: Tree, waiting: set[int], level: int, found: Sequence[tuple], params: BoostParams) -> None:
+    """Splits and values of a level's nodes; ``waiting`` are the nodes that may still be split."""
+    rate, penalty = params.learning_rate, params.reg_lambda
+    for at, (feature, cut, total_g, total_h, left_g, left_h) in found:
+        node = (1 << level) - 1 + at
+        if node not in waiting:
+            continue
+        waiting.discard(node)
+        sides = [(node, total_g, total_h)]
+        if feature >= 0:
+            tree.feature[node], tree.cut[node] = feature, cut
+            sides = [(2 * node + 1, left_g, left_h), (2 * node + 2, total_g - left_g, total_h - left_h)]
+            if level + 1 < params.max_depth:
+                waiting |= {n for n, _, _ in sides}
+        for n, g, h in sides:
+            tree.value[n] = -rate * g / (h + penalty) if h + penalty else 0.0
+
+
 def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     y, fold, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold", "row"))
     x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
@@ -230,15 +264,31 @@ class Booster:
         fold = F.col("fold").cast("int") if "fold" in rows.columns else F.lit(0)
         values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(str(i)) for i, c in enumerate(self.features)]
         asked = rows.select(F.xxhash64(key).alias("row"), fold.alias("fold"), F.col("target").cast("double").alias("y"), *values)
-        self.table = stage(asked.mapInArrow(binned, "row long, fold int, y double, x binary, margins array<double>"), "binned", even=True)
-        about = self.table.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("most")).first()
+        self.stored = stage(asked.mapInArrow(binned, "row long, fold int, y double, x binary, margins array<double>"), "binned", even=True)
+        self.table, self.copies = self.stored, 0
+        self.deal()
+        about = self.stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("most")).first()
         # The largest power of two at which no sum of gradients, even of twice the largest target, passes 2^52.
         self.scale = 2.0 ** min(40, 51 - math.ceil(math.log2(max(1e-9, about.most or 0.0) * 4 * max(1, about.n))))
         whole = F.sum(F.rint(F.col("y") * self.scale).cast("decimal(38,0)"))
-        sums = self.table.groupBy("fold").agg(whole.alias("y"), F.count(F.lit(1)).alias("n")).collect()
+        sums = self.stored.groupBy("fold").agg(whole.alias("y"), F.count(F.lit(1)).alias("n")).collect()
         self.folds = {r.fold: (int(r.y) / self.scale, r.n) for r in sums}
         self.held: list[Fit] = []
 
+    def deal(self) -> None:
+        """The stored table as passes read it: as it is, or a small one once for each core, kept in memory."""
+        self.close()
+        self.parts = self.stored.rdd.getNumPartitions()
+        self.table, self.copies = self.stored, 0
+        if self.parts == 1:
+            self.copies = self.spark.sparkContext.defaultParallelism
+            copied = self.stored.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(self.copies - 1))))
+            self.table = copied.repartitionByRange(self.copies, "copy").persist()
+
+    def close(self) -> None:
+        if self.copies:
+            self.table.unpersist()
+
     def start(self, fits: Sequence[Fit]) -> list[Fit]:
         for fit in fits:
             seen = [v for f, v in self.folds.items() if f != fit.fold]
@@ -248,6 +298,9 @@ class Booster:
     def grow(self, fits: Sequence[Fit], trees: int, every: int = 12) -> None:
         """Up to ``trees`` more trees for each model (none beyond its number); sums are stored anew every few trees."""
         with settings(self.spark, {"spark.sql.adaptive.enabled": "false"}):
+            if self.copies:
+                self.grow_copies(fits, trees)
+                return
             for _ in range(trees):
                 growing = [f for f in fits if len(f.trees) < f.params.n_estimators]
                 if not growing:
@@ -256,32 +309,66 @@ class Booster:
                     self.store(growing)
                 self.tree(growing)
 
+    def grow_copies(self, fits: Sequence[Fit], trees: int) -> None:
+        """The same where each task has all rows: a pass for all of the trees."""
+        copies, scale, bins, width = self.copies, self.scale, self.bins, len(self.features)
+
+        def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = list(batches)
+            table = pa.Table.from_batches(rows) if rows else None
+            for copy in np.unique(table.column("copy").to_numpy()).tolist() if table is not None else []:
+                x, y, fold, row, _ = arrays(table.filter(pc.equal(table.column("copy"), copy)).combine_chunks().to_batches()[0])
+                out = [[], [], [], [], []]
+                for model in range(copy, len(fits), copies):
+                    fit = fits[model]
+                    margin = np.full(len(x), fit.base)
+                    for tree in fit.trees:
+                        margin = margin + tree.value[tree.leaves(x)]
+                    for number in range(len(fit.trees), min(len(fit.trees) + trees, fit.params.n_estimators) + 1):
+                        tree, waiting, error = Tree.empty(fit.params.max_depth), {0}, 0.0
+                        grow = Growing(model, 0, fit.fold, fit.seed, number, fit.params.subsample, fit.base, [], tree, 0)
+                        for grow.level in range(fit.params.max_depth):
+                            if not waiting:
+                                break
+                            sums, squared, held = level_sums(x, y, fold, row, margin[:, None], grow, scale, bins)
+                            if grow.level == 0:
+                                error = math.sqrt(squared / held) if held else 0.0
+                                if number == min(len(fit.trees) + trees, fit.params.n_estimators):
+                                    break  # only the error after the last tree
+                            place_splits(tree, waiting, grow.level, [*enumerate(best_splits(sums, fit.offered(width, number), fit.params.reg_lambda, scale))], fit.params)
+                        margin = margin + tree.value[tree.leaves(x)]
+                        for column, value in zip(out, (model, number, np.stack([tree.feature, tree.cut, tree.value]).astype(np.float64).tobytes(), error, fit.fold is not None)):
+                            column.append(value)
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.float64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["model", "number", "tree", "error", "judged"])
+
+        found = self.table.mapInArrow(grown, "model int, number int, tree binary, error double, judged boolean").collect()
+        ends = [min(len(f.trees) + trees, f.params.n_estimators) for f in fits]
+        for row in sorted(found, key=lambda r: (r.model, r.number)):
+            fit = fits[row.model]
+            if row.judged and row.number == len(fit.errors):
+                fit.errors.append(row.error)
+            if row.number < ends[row.model]:
+                feature, cut, value = np.frombuffer(row.tree).reshape(3, -1)
+                fit.trees.append(Tree(feature.astype(np.int32), cut.copy(), value.copy()))
+
     def tree(self, fits: Sequence[Fit]) -> None:
         """One more tree for each model, a level of all a pass."""
         made = [Tree.empty(f.params.max_depth) for f in fits]
-        offered = [f.offered(len(self.features)) for f in fits]
+        offered = [f.offered(len(self.features), len(f.trees)) for f in fits]
         waiting = {i: {0} for i in range(len(fits))}  # nodes that may still be split
         for level in range(max(f.params.max_depth for f in fits)):
             live = [i for i, f in enumerate(fits) if waiting[i] and level < f.params.max_depth]
             if not live:
                 break
+            found: dict[int, list] = {}
             for row in self.splits([self.growing(fits[i], i, made[i], level) for i in live], [offered[i] for i in live], [fits[i].params.reg_lambda for i in live]):
-                fit, tree = fits[row.model], made[row.model]
+                fit = fits[row.model]
                 if level == 0 and fit.fold is not None and len(fit.errors) == len(fit.trees):
                     fit.errors.append(math.sqrt(row.error / row.held) if row.held else 0.0)
-                node = (1 << level) - 1 + row.node
-                if node not in waiting[row.model]:
-                    continue
-                waiting[row.model].discard(node)
-                rate, penalty = fit.params.learning_rate, fit.params.reg_lambda
-                sides = [(node, row.total_g, row.total_h)]
-                if row.feature >= 0:
-                    tree.feature[node], tree.cut[node] = row.feature, row.cut
-                    sides = [(2 * node + 1, row.left_g, row.left_h), (2 * node + 2, row.total_g - row.left_g, row.total_h - row.left_h)]
-                    if level + 1 < fit.params.max_depth:
-                        waiting[row.model] |= {n for n, _, _ in sides}
-                for n, g, h in sides:
-                    tree.value[n] = -rate * g / (h + penalty) if h + penalty else 0.0
+                found.setdefault(row.model, []).append((row.node, tuple(row[2:8])))
+            for i, splits in found.items():
+                place_splits(made[i], waiting[i], level, splits, fits[i].params)
         for fit, tree in zip(fits, made):
             fit.trees.append(tree)
 
@@ -299,61 +386,51 @@ class Booster:
 
     def splits(self, growing: list[Growing], offered: list[np.ndarray], penalties: list[float]) -> list:
         """The pass: sums by task, added up by model, best splits of every node."""
-        scale, bins = self.scale, self.bins
+        scale, bins, width = self.scale, self.bins, len(self.features)
         chosen = {g.model: (o, p, g.level) for g, o, p in zip(growing, offered, penalties)}
-        width = len(self.features)
+        names = lambda schema: [c.split()[0] for c in schema.split(", ")]
+
+        def split(total: dict[int, list]) -> pa.Table:
+            rows = []
+            for model, (sums, error, held) in total.items():
+                offer, penalty, _ = chosen[model]
+                rows += [(model, node, *best, error, held) for node, best in enumerate(best_splits(sums, offer, penalty, scale))]
+            kinds = [pa.int32()] * 4 + [pa.float64()] * 5 + [pa.int64()]
+            return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], names=names(SPLIT))
+
+        def sent(total: dict[int, list], part: int) -> pa.Table:
+            rows = [(model, part, packed_sums(sums), error, held) for model, (sums, error, held) in total.items()]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.float64(), pa.int64())
+            return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], names=names(SUMS))
 
         def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, list] = {}
+            part = 0
             for batch in batches:
                 given = arrays(batch)
+                part = int(given[3][0] & 0x7FFFFFFF)
                 for g in growing:
                     sums, error, held = level_sums(*given, g, scale, bins)
                     if g.model in total:
-                        total[g.model][0] += sums
-                        total[g.model][1] += error
-                        total[g.model][2] += held
-                    else:
-                        total[g.model] = [sums, error, held]
-            if total:
-                task = pa.array([int(next(iter(given[3])) & 0x7FFFFFFF)] * len(total), pa.int64())
-                rows = [pa.array([v[i] for v in total.values()], t) for i, t in ((1, pa.float64()), (2, pa.int64()))]
-                yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), task, pa.array([v[0].tobytes() for v in total.values()], pa.binary()), *rows], ["model", "part", "sums", "error", "held"])
-
-        def by_model(table: pa.Table) -> dict[int, tuple[np.ndarray, float, int]]:
-            total: dict[int, tuple[np.ndarray, float, int]] = {}
+                        sums, error, held = total[g.model][0] + sums, total[g.model][1] + error, total[g.model][2] + held
+                    total[g.model] = [sums, error, held]
+            yield from sent(total, part).to_batches()
+
+        def by_model(table: pa.Table) -> dict[int, list]:
+            total: dict[int, list] = {}
             for row in sorted(table.to_pylist(), key=lambda r: (r["model"], r["part"])):
-                sums = np.frombuffer(row["sums"])
-                before = total.get(row["model"])
-                total[row["model"]] = (sums + before[0], row["error"] + before[1], row["held"] + before[2]) if before else (sums, row["error"], row["held"])
+                of = total.setdefault(row["model"], [np.zeros((2, 1 << chosen[row["model"]][2], width, bins)), 0.0, 0])
+                add_packed(of[0], row["sums"])
+                of[1:] = of[1] + row["error"], of[2] + row["held"]
             return total
 
-        def added(table: pa.Table) -> pa.Table:
-            rows = [(m, table.column("part")[0].as_py(), s.tobytes(), e, n) for m, (s, e, n) in by_model(table).items()]
-            return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.float64(), pa.int64()))], names=["model", "part", "sums", "error", "held"])
-
-        def split(table: pa.Table) -> pa.Table:
-            rows = []
-            for model, (sums, error, held) in by_model(table).items():
-                offer, penalty, level = chosen[model]
-                for node, best in enumerate(best_splits(sums.reshape(2, 1 << level, width, bins), offer, penalty, scale)):
-                    rows.append((model, node, *best, error, held))
-            kinds = [pa.int32()] * 4 + [pa.float64()] * 5 + [pa.int64()]
-            return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[c.split()[0] for c in SPLIT.split(", ")])
-
-        sums = self.table.mapInArrow(of_task, SUMS)
-        parts = self.parts
+        sums, parts = self.stored.mapInArrow(of_task, SUMS), self.parts
         while parts > FAN_IN:  # tasks' sums in steps, so that no group grows with the table
             parts = -(-parts // FAN_IN)
-            sums = sums.groupBy("model", F.pmod(F.xxhash64("part"), F.lit(parts)).alias("to")).applyInArrow(lambda key, table: added(table), SUMS)
+            to = F.pmod(F.xxhash64("part"), F.lit(parts)).alias("to")
+            sums = sums.groupBy("model", to).applyInArrow(lambda key, table: sent(by_model(table), table.column("part")[0].as_py()), SUMS)
         packs = min(len(growing), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        return sums.groupBy((F.col("model") % packs).alias("pack")).applyInArrow(lambda key, table: split(table), SPLIT).collect()
-
-    @property
-    def parts(self) -> int:
-        if getattr(self, "_counted", None) is not self.table:
-            self._counted, self._parts = self.table, self.table.rdd.getNumPartitions()
-        return self._parts
+        return sums.groupBy((F.col("model") % packs).alias("pack")).applyInArrow(lambda key, table: split(by_model(table)), SPLIT).collect()
 
     def store(self, fits: Sequence[Fit]) -> None:
         """The table with the models' sums so far, in place of all earlier ones."""
@@ -366,7 +443,8 @@ class Booster:
                 ends = pa.array(np.arange(0, len(flat) + 1, len(held)), pa.int32())
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "fold", "y", "x")], pa.ListArray.from_arrays(ends, flat)], ["row", "fold", "y", "x", "margins"])
 
-        self.table = stage(self.table.mapInArrow(summed, "row long, fold int, y double, x binary, margins array<double>"), "margins")
+        self.stored = stage(self.stored.mapInArrow(summed, "row long, fold int, y double, x binary, margins array<double>"), "margins")
+        self.deal()
         for fit in fits:
             fit.stored = len(fit.trees)
         self.held = list(fits)
@@ -385,6 +463,7 @@ def fit_boosted(rows: DataFrame, features: Sequence[str], params: Sequence[Boost
     booster = Booster(rows, features, key)
     fits = booster.start([Fit(p, seed=i) for i, p in enumerate(params)])
     booster.grow(fits, max(p.n_estimators for p in params))
+    booster.close()
     return [booster.model(f) for f in fits]
 
 
@@ -407,7 +486,7 @@ class Trial:
 
 def search_boosted(
     rows: DataFrame, features: Sequence[str], drawn_params: Sequence[BoostParams], key: str = "Product_ID",
-    first: int = 8, keep: float = 1 / 3, finalists: int = 2, patience: int = 10,
+    first: int = 8, keep: float = 1 / 4, finalists: int = 2, patience: int = 10,
 ) -> tuple[list[Trial], Trial]:
     """Successive halving over the parameter sets by their mean fold error.
 
@@ -432,4 +511,5 @@ def search_boosted(
             break
         live = sorted(live, key=lambda t: (t.best(), t.number))[: max(finalists, math.ceil(keep * len(live)))]
         size *= 3
+    booster.close()
     return trials, min(live, key=lambda t: (t.best(), t.number))

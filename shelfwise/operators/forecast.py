@@ -166,6 +166,7 @@ def boosted_predictions(rows: DataFrame, sets: Sequence[tuple[str, BoostParams,
     ]
     booster.start([f for _, f in fits])
     booster.grow([f for _, f in fits], max(f.params.n_estimators for _, f in fits))
+    booster.close()
     return union_all(
         [
             booster.model(fit).transform(rows.where(F.col("fold") == fit.fold)).select(F.lit(name).alias("method"), "fold", "target", "prediction")

@@ -29,6 +29,7 @@ from shelfwise.functions import catalog, text
 from shelfwise.operators.evaluate import class_metrics, classification_metrics
 from shelfwise.operators.folds import stratified_kfold, stratified_split
 from shelfwise.operators.joins import mean_sentiment
+from shelfwise.operators.phrases import PhraseSegmenter, WordTerms, mine_phrases, phrase_list
 from shelfwise.operators.profile import union_all
 from shelfwise.session import stage
 
@@ -195,23 +196,40 @@ def _plain(estimator, weight: str = "weight") -> Callable[[DataFrame, str], Pred
     return fit
 
 
-def _ensemble(max_iter: int) -> Callable[[DataFrame, str], Predict]:
-    """Mean of the logistic probability and the calibrated margin of an SVM."""
+def _svm(max_iter: int, features: str) -> LinearSVC:
+    return LinearSVC(featuresCol=features, weightCol="weight", maxIter=max_iter, rawPredictionCol="raw_svm", predictionCol="pred_svm")
+
+
+def out_of_fold_margins(train: DataFrame, features: str, max_iter: int, parts: int = 3, svm: Callable = _svm) -> DataFrame:
+    """``label, weight, margin``: the margin of every row by an SVM that was fitted on the other ``parts``."""
+    margin = VectorAssembler(inputCols=["raw_svm"], outputCol="margin")
+    return union_all(
+        [
+            margin.transform(svm(max_iter, features).fit(train.where(F.col("part") != p)).transform(train.where(F.col("part") == p)))
+            .select("label", "weight", "margin")
+            for p in range(parts)
+        ]
+    )
+
+
+def _ensemble(max_iter: int, parts: int = 3) -> Callable[[DataFrame, str], Predict]:
+    """Mean of the logistic probability and the calibrated margin of an SVM.
+
+    The calibration is fitted once, on the margins of all rows out of their ``part``, so no row calibrates a model
+    that has seen it.  The SVM that predicts is fitted on all rows.
+    """
 
     def fit(train: DataFrame, features: str) -> Predict:
         logistic = LogisticRegression(
             featuresCol=features, weightCol="weight", maxIter=max_iter, probabilityCol="p_lr",
             rawPredictionCol="raw_lr", predictionCol="pred_lr",
         ).fit(train)
-        svm = LinearSVC(
-            featuresCol=features, weightCol="weight", maxIter=max_iter,
-            rawPredictionCol="raw_svm", predictionCol="pred_svm",
-        ).fit(train)
+        svm = _svm(max_iter, features).fit(train)
         margin = VectorAssembler(inputCols=["raw_svm"], outputCol="margin")
         calibrated = LogisticRegression(
             featuresCol="margin", weightCol="weight", maxIter=max_iter, probabilityCol="p_svm",
             rawPredictionCol="raw_cal", predictionCol="pred_cal",
-        ).fit(margin.transform(svm.transform(train)))
+        ).fit(stage(out_of_fold_margins(train, features, max_iter, parts), "margins"))
 
         def predict(rows: DataFrame) -> DataFrame:
             both = calibrated.transform(margin.transform(svm.transform(logistic.transform(rows))))
@@ -238,10 +256,10 @@ def compare_classifiers(
     a fold are fitted side by side, as their jobs are short.
     """
     polarity = text.cue_polarity(F.col("clean"), lexicon.POSITIVE_CUES, lexicon.NEGATIVE_CUES)
-    # Folds are dealt on the stored texts; terms, many times longer, come after.
+    # Texts are stored, not their terms, which are many times longer: each fold makes them as it reads.
     dealt = stratified_kfold(stage(docs, "texts"), "key", k=folds)
-    prepared = with_terms(dealt, chars=True).withColumn("polarity", polarity)
-    rows = stage(prepared, "folds", even=True)
+    inner = F.pmod(F.crc32(F.concat(F.lit("part "), F.col("key").cast("string")).cast("binary")), F.lit(3)).cast("int")
+    rows = stage(dealt.withColumns({"polarity": polarity, "part": inner}), "folds", even=True)
     variants: dict[str, tuple[str, Callable[[DataFrame, str], Predict]]] = {
         "naive_bayes": ("word", _plain(NaiveBayes, "review_weight")),
         "random_forest": ("word_few", _plain(lambda: RandomForestClassifier(numTrees=trees, seed=42))),
@@ -254,9 +272,10 @@ def compare_classifiers(
     predicted = []
     for fold in range(folds):
         train, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
-        word = fit_tfidf(train, "terms", "word")
-        few = fit_tfidf(train, "terms", "word_few", size=TREE_COLUMNS)
-        char = fit_tfidf(train, "chars", "char", least=3, size=20_000, listed=True)
+        with_words = with_terms(train)
+        word = fit_tfidf(with_words, "terms", "word")
+        few = fit_tfidf(with_words, "terms", "word_few", size=TREE_COLUMNS)
+        char = fit_tfidf(with_terms(train, chars=True), "chars", "char", least=3, size=20_000, listed=True)
         joined = PipelineModel(
             stages=[
                 word,
@@ -267,9 +286,9 @@ def compare_classifiers(
             ]
         )
         used = ["label", *map(unnamed, ["word", "word_few", "word_char", "word_polarity"])]
-        weighted = joined.transform(with_weights(train))
-        seen = stage(weighted.select(*used, "weight", "review_weight"), "seen", even=True).persist()
-        asked = stage(joined.transform(held).select(*used), "asked", even=True)
+        weighted = joined.transform(with_terms(with_weights(train), chars=True))
+        seen = stage(weighted.select(*used, "weight", "review_weight", "part"), "seen", even=True).persist()
+        asked = stage(joined.transform(with_terms(held, chars=True)).select(*used), "asked", even=True)
         predicted.append(majority(train, held).select(F.lit("majority").alias("method"), "label", "prediction"))
 
         def held_out(name: str) -> DataFrame:
@@ -308,40 +327,91 @@ def method_metrics(scored: DataFrame, method: str) -> DataFrame:
 # Training and scoring -------------------------------------------------------
 
 
-def fit_sentiment(train: DataFrame, max_iter: int = 100) -> PipelineModel:
-    """Three classes from the words of cleaned texts (``clean, label``)."""
-    terms = stage(with_terms(train).select("terms", "label"), "terms", even=True)
+def fit_sentiment(
+    train: DataFrame, max_iter: int = 100, penalty: float = 0.01, phrases: Sequence[str] | None = None,
+) -> PipelineModel:
+    """Three classes from the segmented words of cleaned texts (``clean, label``).
+
+    The model reads ``clean``: it joins phrases, those mined from the training texts or ``phrases``, takes terms,
+    weighs and classifies them.  All of it is saved with the model and works row by row, on streams too.
+    """
+    prepared, model = _prepared(train, phrases)
+    return PipelineModel(stages=[*model.stages, _logistic(max_iter, penalty).fit(prepared)])
+
+
+def _logistic(max_iter: int, penalty: float) -> LogisticRegression:
+    return LogisticRegression(featuresCol="tfidf", family="multinomial", maxIter=max_iter, regParam=penalty)
+
+
+def _prepared(train: DataFrame, phrases: Sequence[str] | None = None) -> tuple[DataFrame, PipelineModel]:
+    """``label, tfidf`` of the training texts, stored, and the stages that made them."""
+    texts = stage(train.select("clean", "label"), "clean", even=True)
+    if phrases is None:
+        numbered = texts.withColumn("_row", F.monotonically_increasing_id())
+        phrases = phrase_list(mine_phrases(numbered, "_row", "clean"))
+    words = [PhraseSegmenter(phrases), WordTerms()]
+    terms = stage(PipelineModel(stages=words).transform(texts).select("terms", "label"), "terms", even=True)
     tfidf = fit_tfidf(terms)
-    rows = stage(tfidf.transform(terms).select("label", "tfidf"), "tfidf").persist()
-    logistic = LogisticRegression(featuresCol="tfidf", family="multinomial", maxIter=max_iter, regParam=0.01)
-    model = PipelineModel(stages=[*tfidf.stages, logistic.fit(rows)])
-    rows.unpersist()
-    return model
+    rows = stage(tfidf.transform(terms).select("label", "tfidf"), "tfidf")
+    return rows, PipelineModel(stages=[*words, *tfidf.stages])
+
+
+def macro_f1(scored: DataFrame) -> float:
+    return class_metrics(scored).agg(F.coalesce(F.avg("f1"), F.lit(0.0))).first()[0]
+
+
+#: Penalties that a training run compares, strongest first.
+PENALTIES = (0.1, 0.03, 0.01, 0.003, 0.001)
+
+
+def select_penalty(
+    train: DataFrame, held: DataFrame, max_iter: int = 100, penalties: Sequence[float] = PENALTIES, parallelism: int = 4,
+) -> list[tuple[float, float]]:
+    """Each penalty with the macro-F1 over ``held`` of the model that it gives on ``train``; the texts are prepared once."""
+    rows, stages = _prepared(train)
+    asked = stage(stages.transform(held.select("clean", "label")).select("label", "tfidf"), "asked")
+
+    def scored(penalty: float) -> tuple[float, float]:
+        return penalty, macro_f1(_logistic(max_iter, penalty).fit(rows).transform(asked).select("label", "prediction"))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(scored, penalties))
 
 
 def train_sentiment(
-    labeled: DataFrame, synthetic: DataFrame, key: str = "key", max_iter: int = 100
+    labeled: DataFrame, synthetic: DataFrame, key: str = "key", max_iter: int = 100, penalties: Sequence[float] = PENALTIES,
 ) -> tuple[PipelineModel, DataFrame]:
     """The model, and its metrics on held-out real rows only.
 
-    ``labeled``: ``key, clean, label``; ``synthetic``: ``text, label``.
+    ``labeled``: ``key, clean, label``; ``synthetic``: ``text, label``.  The penalty is the one with the best macro-F1 over
+    a part held out of the training rows (of equals the strongest); then all training rows fit the model.  Metrics
+    also tell the ``penalty`` (key ``chosen``) and the ``selection_f1`` of each one compared.
     """
     parts = stage(stratified_split(stage(labeled, "labeled"), key), "split")
     extra = synthetic.select(text.clean_text(F.col("text"), lexicon.SHORTHAND).alias("text"), "label")
-    train = with_synthetic(
-        parts.where(~F.col("is_test")).select(F.col("clean").alias("text"), "label"), extra
+    real = parts.where(~F.col("is_test")).drop("is_test").withColumn("_key", F.concat(F.lit("inner "), F.col(key).cast("string")))
+    inner = stage(stratified_split(real, "_key").select(F.col("clean").alias("text"), "label", "is_test"), "inner")
+
+    def fitted_on(rows: DataFrame) -> DataFrame:
+        return with_synthetic(rows.select("text", "label"), extra).withColumnRenamed("text", "clean")
+
+    tried = select_penalty(
+        fitted_on(inner.where(~F.col("is_test"))), inner.where(F.col("is_test")).withColumnRenamed("text", "clean"), max_iter, penalties,
     )
-    model = fit_sentiment(train.withColumnRenamed("text", "clean"), max_iter)
-    held = model.transform(with_terms(parts.where(F.col("is_test"))))
-    return model, classification_metrics(held.select("label", "prediction"))
+    chosen = max(tried, key=lambda t: (t[1], t[0]))[0]
+    model = fit_sentiment(fitted_on(inner), max_iter, chosen)
+    held = model.transform(parts.where(F.col("is_test")))
+    selection = [("penalty", "chosen", chosen)] + [("selection_f1", f"{p:g}", score) for p, score in tried]
+    about = labeled.sparkSession.createDataFrame(selection, "metric string, key string, value double")
+    return model, classification_metrics(held.select("label", "prediction")).unionByName(about)
 
 
 def score_sentiment(
     reviews: DataFrame, model: PipelineModel, column: str = "Review_Text", names: Mapping[int, str] = lexicon.LABEL_NAMES
 ) -> DataFrame:
     """Label, name, confidence, probabilities and cleaned text; blank texts leave."""
-    asked = reviews.where(~text.is_blank(F.col(column))).withColumn("cleaned_text", model_text(F.col(column)))
-    scored = model.transform(with_terms(asked, "cleaned_text"))
+    asked = reviews.where(~text.is_blank(F.col(column))).withColumn("clean", model_text(F.col(column)))
+    scored = model.transform(asked)
     chances = vector_to_array("probability")
     label = F.col("prediction").cast("int")
     by_name = F.map_from_arrays(
@@ -353,7 +423,7 @@ def score_sentiment(
         catalog.label_name(label, names).alias("label_name"),
         F.array_max(chances).alias("confidence"),
         by_name.alias("probabilities"),
-        "cleaned_text",
+        F.col("clean").alias("cleaned_text"),
     )
 
 

@@ -72,14 +72,15 @@ def test_penalty_shrinks_leaves(rows):
 
 def test_same_model_however_rows_are_dealt(rows, data, monkeypatch):
     """Sums are exact, whatever the tasks and the steps of adding them up, and whether sums are stored on the way."""
-    params = [BoostParams(14, 4, subsample=0.8, colsample=0.7), BoostParams(3, 2)]
-    one = fit_boosted(rows.coalesce(1), FEATURES, params, "key")
-    monkeypatch.setattr(boosting, "FAN_IN", 2)
-    monkeypatch.setattr(Booster, "parts", 9)
-    many = fit_boosted(rows.repartition(9), FEATURES, params, "key")
+    params = [BoostParams(7, 3, subsample=0.8, colsample=0.7), BoostParams(3, 2)]
+    one = fit_boosted(rows.coalesce(1), FEATURES, params, "key")  # a copy for each core
+    monkeypatch.setattr(boosting, "FAN_IN", 3)
+    monkeypatch.setattr(Booster.grow, "__defaults__", (3,))
+    monkeypatch.setattr(boosting, "stage", lambda df, name, even=False: df.repartition(9).cache())
+    many = fit_boosted(rows, FEATURES, params, "key")
     for a, b in zip(one, many):
         assert len(a.trees) == len(b.trees) and a.predict(data[0]).tolist() == b.predict(data[0]).tolist()
-    assert [len(m.trees) for m in one] == [14, 3]
+    assert [len(m.trees) for m in one] == [7, 3]
 
 
 def test_saved_model(spark, rows, data, tmp_path):
@@ -89,17 +90,19 @@ def test_saved_model(spark, rows, data, tmp_path):
     assert loaded.features == FEATURES and loaded.predict(data[0]).tolist() == model.predict(data[0]).tolist()
 
 
-def test_fold_errors_are_those_of_the_models(rows, data):
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_fold_errors_are_those_of_the_models(rows, data, tasks, monkeypatch):
     """A fold's error after each tree is that of predicting it with so many trees; its rows train nothing."""
     x, y = data
+    monkeypatch.setattr(boosting, "stage", lambda df, name, even=False: df.repartition(tasks).cache())
     booster = Booster(rows, FEATURES, "key")
-    fits = booster.start([Fit(BoostParams(5, 2), fold) for fold in range(4)])
-    booster.grow(fits, 5, every=2)
+    fits = booster.start([Fit(BoostParams(4, 2), fold) for fold in range(4)])
+    booster.grow(fits, 4, every=2)
     booster.errors(fits)
     for fit in fits:
         held = np.arange(200) % 4 == fit.fold
-        assert fit.base == pytest.approx(y[~held].mean()) and len(fit.errors) == 6
-        for t in (0, 3, 5):
+        assert fit.base == pytest.approx(y[~held].mean()) and len(fit.errors) == 5
+        for t in (0, 3, 4):
             out = booster.model(fit, t).predict(x)[held]
             assert fit.errors[t] == pytest.approx(np.sqrt(((out - y[held]) ** 2).mean()))
 

@@ -1,5 +1,7 @@
 """Golden rows of the column expressions."""
 
+import random
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -155,3 +157,28 @@ def test_whole_words_with_accents(spark):
     found = apply(spark, ["rất đẹp", "đẹpx", "ok!", "book", "_ok"], lambda c: c.rlike(pattern))
     assert found == [True, False, True, False, False]
     assert apply(spark, ["a+b c", "aab c"], lambda c: c.rlike(text.any_word(["a+b"]))) == [True, False]
+
+
+def plain_segments(line, phrases):
+    words, out = line.split(), []
+    while words:
+        n = next((n for n in range(9, 1, -1) if n <= len(words) and " ".join(words[:n]) in phrases), 1)
+        out.append("_".join(words[:n]))
+        words = words[n:]
+    return " ".join(out)
+
+
+def test_segment_takes_the_longest_phrase_from_the_left(spark):
+    rng = random.Random(7)
+    phrases = {"a b", "b c", "b c d", "c a", "a a", "a b c d a", "d d", "é à", "d.d d", "x"}
+    lines = [" ".join(rng.choice(["a", "b", "c", "d", "é", "à", "d.d", "zz"]) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    lines += ["", "  a   b ", "a b", "a b c", "a b c d a", "a", "a a a", "b c d d"]
+    assert apply(spark, lines, lambda c: text.segment(c, phrases)) == [plain_segments(x, phrases) for x in lines]
+    assert apply(spark, [None, "a  b"], lambda c: text.segment(c, [])) == ["", "a b"]
+    assert apply(spark, [None], lambda c: text.segment(c, phrases)) == [""]
+
+
+def test_segment_is_linear(spark):
+    """A text of 200,000 words is no harder than its parts."""
+    long = " ".join(["a", "b", "c"] * 70_000)
+    assert apply(spark, [long], lambda c: text.segment(c, {"a b"})) == [" ".join(["a_b", "c"] * 70_000)]

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -86,7 +87,9 @@ def test_tuning_is_repeatable(training):
     assert forecast.random_params(3, search=ranges) == forecast.random_params(3, search=ranges)
     scores, best = forecast.tune_forecast(training, 2, search=ranges)
     rows = scores.collect()
-    assert min(rows, key=lambda r: r.rmse).n_estimators == best.n_estimators
+    first = min(rows, key=lambda r: r.rmse)
+    assert first.chosen and first.trees == best.n_estimators <= first.n_estimators and first.reg_lambda == best.reg_lambda
+    assert set(forecast.SEARCH) == {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample", "reg_lambda"}
 
 
 def test_seven_days(spark, training):
@@ -141,6 +144,41 @@ def test_sentiment_training_and_scoring(spark, texts):
     assert rows[0].confidence == max(rows[0].probabilities.values())
 
 
+def test_penalty_is_selected_by_macro_f1(spark, texts):
+    synthetic = spark.createDataFrame([("không tốt", 0)], "text string, label int")
+    _, metrics = sentiment.train_sentiment(texts, synthetic, max_iter=10, penalties=(50.0, 0.01))
+    found = {(m.metric, m.key): m.value for m in metrics.collect()}
+    assert found["penalty", "chosen"] == 0.01 and found["selection_f1", "0.01"] > found["selection_f1", "50"]
+
+
+def test_segments_reach_the_model(spark, texts, tmp_path):
+    """The phrases that training finds are joined in scoring as well; a saved model reads the same."""
+    rows = texts.unionByName(texts).unionByName(texts)
+    model = sentiment.fit_sentiment(rows.select("clean", "label"), 10)
+    phrases = model.stages[0].getOrDefault("phrases")
+    assert {"tệ kém", "tốt đẹp"} <= set(phrases)
+    shown = model.transform(spark.createDataFrame([("máy tốt đẹp quá",)], "clean string")).first()
+    assert "tốt_đẹp" in shown.segmented and any("tốt_đẹp" in t for t in shown.terms)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    asked = spark.createDataFrame([(w,) for w in ["tốt đẹp", "tệ kém", "bình thường", "đẹp tốt"]], "Review_Text string")
+    before, after = (sentiment.score_sentiment(asked, m).collect() for m in (model, PipelineModel.load(str(tmp_path / "model"))))
+    assert before == after and [r.label for r in before][:3] == [2, 0, 1]
+
+
+def test_no_row_calibrates_a_model_that_saw_it(spark):
+    """With a model that knows its own rows by heart, calibration on them would be sure of everything."""
+    rows = spark.createDataFrame([(i, i % 2, 1.0, i % 3) for i in range(60)], "id int, label int, weight double, part int")
+
+    class Memory:
+        def fit(self, df):
+            known = {r.id for r in df.collect()}
+            self.transform = lambda rows: rows.withColumn("raw_svm", array_to_vector(F.array(F.when(F.col("id").isin(known), F.col("label") * 2.0 - 1).otherwise(0.0))))
+            return self
+
+    margins = sentiment.out_of_fold_margins(rows, "id", 5, svm=lambda max_iter, features: Memory()).collect()
+    assert len(margins) == 60 and {m.margin[0] for m in margins} == {0.0}
+
+
 def test_compare_classifiers(texts):
     two = texts.where("label <> 1").withColumn("label", (F.col("label") / 2).cast("int"))
     found = {r.method: r for r in sentiment.compare_classifiers(two, folds=2, max_iter=5, trees=5).collect()}
