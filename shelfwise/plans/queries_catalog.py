@@ -121,7 +121,12 @@ def _(t):
     return t.spark.read.parquet(path).withColumn("createdAt", F.date_format("createdAt", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("model_artifact_roundtrip")
+@query(
+    "model_artifact_roundtrip",
+    V("products") + """, rated AS (SELECT *, greatest(0, least(1, coalesce((Original_Price - Discounted_Price) / nullif(Original_Price, 0), 0))) AS rate FROM products)
+    SELECT Product_ID, round((SELECT regr_intercept(Sales_Volume, rate) FROM rated) + (SELECT regr_slope(Sales_Volume, rate) FROM rated) * rate, 3) AS prediction
+    FROM rated""",
+)
 def _(t):
     rows = cleaning.with_discount_rate(t.products)
     line = Pipeline(
@@ -132,7 +137,7 @@ def _(t):
     ).fit(rows)
     path = scratch_path(t.spark, "model")
     line.write().overwrite().save(path)
-    return PipelineModel.load(path).transform(rows).select("Product_ID", "prediction")
+    return rounded(PipelineModel.load(path).transform(rows).select("Product_ID", "prediction"), 3)
 
 
 @query(

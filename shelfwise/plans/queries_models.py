@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfwise import lexicon
 from shelfwise.functions import text
 from shelfwise.operators import baskets, evaluate, forecast, segments, sentiment
+from shelfwise.operators.boosting import fit_boosted
 from shelfwise.operators.cleaning import with_discount_rate, with_specs
 from shelfwise.plans import flows, sql
 from shelfwise.plans.queries_relational import BASKETS_SQL, RULE_COLUMNS, TYPES_SQL
@@ -51,6 +53,17 @@ def _(t):
     return model.transform(rows).select("Product_ID", "cluster_id")
 
 
+@query("kmeans_far_rows", "SELECT count(*) AS n, 0 AS far FROM part")
+def _(t):
+    """Rows that aren't in the cluster of the nearest centre: none."""
+    rows = vectors(t)
+    model = segments.best_kmeans(rows, 8)
+    away = [sum([(F.get(vector_to_array("scaled"), i) - F.lit(float(x))) ** 2 for i, x in enumerate(c)], F.lit(0.0)) for c in model.clusterCenters()]
+    placed = model.transform(rows).withColumn("away", F.array(*away))
+    far = F.get("away", F.col("cluster_id")) > F.array_min("away") + 1e-9
+    return placed.agg(F.count(F.lit(1)).alias("n"), F.count_if(far).alias("far"))
+
+
 @query("kmeans_k_scores")
 def _(t):
     scores, _models = segments.k_scores(vectors(t), range(2, 10))
@@ -114,6 +127,29 @@ def _(t):
     return rounded(forecast.train_forecast(rows).transform(rows).select("Product_ID", "target", "prediction"), 4)
 
 
+#: Features of few values, whose bins are the values themselves.
+FEW_VALUES = ["Day_of_Week", "Is_Weekend", "Is_Holiday", "Avg_Star_Rating"]
+
+
+@query(
+    "forecast_stump",
+    V("products", "scored") + f""", {DATASET},
+    base AS (SELECT avg(target) AS b FROM dataset),
+    long AS (SELECT Product_ID, unnest(range({len(FEW_VALUES)})) AS f, coalesce(unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in FEW_VALUES)}]), 0) AS x,
+                    (SELECT b FROM base) - target AS g FROM dataset WHERE target IS NOT NULL),
+    cuts AS (SELECT f, x, sum(sum(g)) OVER up AS gl, sum(count(*)) OVER up AS hl, sum(sum(g)) OVER al AS gt, sum(count(*)) OVER al AS ht
+             FROM long GROUP BY f, x WINDOW up AS (PARTITION BY f ORDER BY x), al AS (PARTITION BY f)),
+    best AS (SELECT *, gl * gl / (hl + 2) + (gt - gl) * (gt - gl) / (ht - hl + 2) AS gain FROM cuts WHERE ht > hl ORDER BY gain DESC, f, x LIMIT 1)
+    SELECT Product_ID, round((SELECT b FROM base) - 0.3 * CASE WHEN l.x <= c.x THEN gl / (hl + 2) ELSE (gt - gl) / (ht - hl + 2) END, 4) AS prediction
+    FROM long l JOIN best c ON l.f = c.f""",
+)
+def _(t):
+    """One tree of one split: the gain, the penalty and the leaf values as plain SQL has them."""
+    rows = training(t)
+    model = fit_boosted(rows, FEW_VALUES, [forecast.BoostParams(1, 1, 0.3, reg_lambda=2.0)])[0]
+    return rounded(model.transform(rows).select("Product_ID", "prediction"), 4)
+
+
 @query("forecast_tune")
 def _(t):
     scores, _best = forecast.tune_forecast(training(t))
@@ -199,6 +235,23 @@ def _(t):
     )
 
 
+@query(
+    "sentiment_score_sums",
+    V("raw_reviews") + """ SELECT Review_ID, 1.0 AS total, true AS surest, true AS named
+    FROM raw_reviews WHERE regexp_replace(Review_Text, '\\s', '', 'g') <> ''""",
+)
+def _(t):
+    """Of every scored review the sum of its chances, and whether label and name are the surest."""
+    scored = scored_reviews(t)
+    chance = F.col("probabilities")
+    names = F.array(*[F.lit(n) for n in lexicon.LABEL_NAMES.values()])
+    return scored.select(
+        "Review_ID", F.round(F.aggregate(F.map_values(chance), F.lit(0.0), lambda a, p: a + p), 6).alias("total"),
+        (chance[F.col("label_name")] == F.col("confidence")).alias("surest"),
+        (F.get(names, F.col("label")) == F.col("label_name")).alias("named"),
+    )
+
+
 @query("sentiment_score_by_product")
 def _(t):
     return rounded(sentiment.sentiment_by_product(scored_reviews(t)))
