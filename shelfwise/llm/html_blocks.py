@@ -8,13 +8,15 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 # Elements of HTML by what they do to text.
-SILENT = {"script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "head"}
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math"}
+SILENT = {"script", "style", "noscript", "template", "iframe", "object", "svg", "annotation", "annotation-xml", "canvas", "head"}
+RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
     "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
     "time", "tt", "u", "var", "br", "img", "wbr", "input",
+    "math", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom",
+    "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mtable", "mtr", "mtd", "semantics",
 }
 #: An opening tag ends an open element of these, up to the nearest holder.
 ENDS = {
@@ -27,7 +29,7 @@ IN_HEAD = {"html", "head", "title", "meta", "link", "base", "basefont", "bgsound
 HOLDERS = {"table", "td", "th", "button", "body", "html"}
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"']++)*+)>|<[a-zA-Z/!?][^>]*+(?:>|\Z)|[^<]++|<", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"']++)*+)>|<[a-zA-Z/!?][^>]*+(?:>|\Z)|[^<]++|<", re.S
 )
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-zA-Z]+")
@@ -56,6 +58,19 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+def raw_end(page: str, tag: str, at: int) -> tuple[int, int]:
+    """Where the text of a raw element ends, and its end tag; of drawings, that of the outermost one."""
+    depth = 1
+    for mark in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*+>", re.I).finditer(page, at):
+        if mark[1]:
+            depth -= 1
+        elif tag == "svg" and not mark[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return mark.start(), mark.end()
+    return len(page), len(page)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order.  Open elements are a stack, so depth costs no recursion."""
     found: list[Block] = []
@@ -118,10 +133,11 @@ def blocks_of(page: str) -> list[Block]:
                 continue
             if tag not in IN_HEAD:
                 end_head()
+        if tag == "svg" and token[3].endswith("/"):
+            continue
         if tag in RAW and not token[3].endswith("/"):
-            ending = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(page, at)
-            body = page[at : ending.start()] if ending else page[at:]
-            at = ending.end() if ending else end
+            body_end, after = raw_end(page, tag, at)
+            body, at = page[at:body_end], after
             if tag == "textarea" and not silent:
                 close()
                 stack.append(_Open(tag, (), (*stack[-1].path, (tag, ()))))

@@ -83,3 +83,20 @@ def test_head_without_end():
     assert texts("<head><title>t</title><a href=x>link</a> text") == ["link text"]
     assert texts("<head><title>t</title><style>p {}</style> \n </head><body>x") == ["x"]
     assert texts("<head><noscript><p>no</p></noscript><head><template><p>no</p></template><div>yes</div>") == ["yes"]
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("<p>a</p><!--><p>whole article</p>", ["a", "whole article"]),
+    ("<p>a</p><!---><p>b</p>", ["a", "b"]),
+    ("<p>a</p><!-- x --!><p>whole article</p>", ["a", "whole article"]),
+    ("<p>a<!-- > -- -> <p>no</p> -->b</p>", ["ab"]),
+    ("<p>a</p><!-- open <p>b</p>", ["a"]),
+    ("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p>", ["let x=1 be"]),
+    ("<p>let <math>x<semantics><annotation encoding='t'>tex</annotation></semantics></math> be</p>", ["let x be"]),
+    ("<p>a<svg><g><svg><text>in</text></svg><text>out</text></g></svg>b</p>", ["ab"]),
+    ("<p>a<svg/>b<SVG viewBox='0'><svg/>x</SVG >c</p>", ["abc"]),
+    ("<p>a<script>if (1 </scripts> 2) {}</script>b</p>", ["ab"]),
+])
+def test_comments_formulas_and_drawings(page, expected):
+    """Written by hand, so that no code of the operator tells what is right."""
+    assert [b.text for b in blocks_of(page)] == expected
