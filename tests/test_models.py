@@ -148,7 +148,8 @@ def test_penalty_is_selected_by_macro_f1(spark, texts):
     synthetic = spark.createDataFrame([("không tốt", 0)], "text string, label int")
     _, metrics = sentiment.train_sentiment(texts, synthetic, max_iter=10, penalties=(50.0, 0.01))
     found = {(m.metric, m.key): m.value for m in metrics.collect()}
-    assert found["penalty", "chosen"] == 0.01 and found["selection_f1", "0.01"] > found["selection_f1", "50"]
+    scores = {p: found["selection_f1", f"{p:g}"] for p in (50.0, 0.01)}
+    assert found["penalty", "chosen"] == max(scores, key=lambda p: (scores[p], p)) and scores[0.01] > 0.9
 
 
 def test_segments_reach_the_model(spark, texts, tmp_path):
@@ -157,10 +158,15 @@ def test_segments_reach_the_model(spark, texts, tmp_path):
     model = sentiment.fit_sentiment(rows.select("clean", "label"), 10)
     phrases = model.stages[0].getOrDefault("phrases")
     assert {"tệ kém", "tốt đẹp"} <= set(phrases)
-    shown = model.transform(spark.createDataFrame([("máy tốt đẹp quá",)], "clean string")).first()
-    assert "tốt_đẹp" in shown.segmented and any("tốt_đẹp" in t for t in shown.terms)
+    words, joined = "máy tốt đẹp số".split(), []
+    while words:
+        n = 2 if " ".join(words[:2]) in phrases else 1
+        joined.append("_".join(words[:n]))
+        words = words[n:]
+    shown = model.transform(spark.createDataFrame([("máy tốt đẹp số",)], "clean string")).first()
+    assert shown.segmented == " ".join(joined) and "_" in shown.segmented and set(joined) <= set(shown.terms)
     model.write().overwrite().save(str(tmp_path / "model"))
-    asked = spark.createDataFrame([(w,) for w in ["tốt đẹp", "tệ kém", "bình thường", "đẹp tốt"]], "Review_Text string")
+    asked = spark.createDataFrame([(f"máy {w} số 1",) for w in ["tốt đẹp", "tệ kém", "bình thường", "đẹp tốt"]], "Review_Text string")
     before, after = (sentiment.score_sentiment(asked, m).collect() for m in (model, PipelineModel.load(str(tmp_path / "model"))))
     assert before == after and [r.label for r in before][:3] == [2, 0, 1]
 
