@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import lexicon
 from shelfwise.functions import catalog, text
+from shelfwise.functions.ranking import global_rank
 from shelfwise.operators.evaluate import class_metrics, classification_metrics
 from shelfwise.operators.folds import stratified_kfold, stratified_split
 from shelfwise.operators.joins import mean_sentiment
@@ -45,34 +46,69 @@ def slots(df: DataFrame, name: str, values: Sequence[str]) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
-def _pick(sentences: DataFrame, label: int, n: int) -> DataFrame:
-    """``n`` different sentences in the order of their digest."""
-    return (
-        sentences.select(text.strip(F.col("text")).alias("text"))
-        .distinct()
-        .orderBy(F.md5(F.col("text").cast("binary")))
-        .limit(n)
-        .withColumn("label", F.lit(label))
-    )
-
-
 def negation_sentences(subjects: DataFrame, words: Sequence[str]) -> DataFrame:
     """``<subject><negator> <word><suffix>`` for every combination."""
     filled = slots(slots(slots(subjects, "negator", lexicon.NEGATORS), "word", words), "suffix", lexicon.SUFFIXES)
-    sentence = F.concat("subject", "negator", F.lit(" "), "word", "suffix")
-    return filled.select(sentence.alias("text"))
+    return filled.select(negated(*[F.col(c) for c in ("subject", "negator", "word", "suffix")]).alias("text"))
+
+
+def permuted(place: Column, bits: int, key: str) -> Column:
+    """A permutation of the numbers below 4 ** ``bits``: four rounds over halves, keyed by digests."""
+    left, right = F.shiftright(place, bits), place.bitwiseAND((1 << bits) - 1)
+    for turn in range(4):
+        digest = F.md5(F.concat(F.lit(f"{key}:{turn}:"), right.cast("string")).cast("binary"))
+        mixed = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long").bitwiseAND((1 << bits) - 1)
+        left, right = right, left.bitwiseXOR(mixed)
+    return F.shiftleft(left, bits).bitwiseOR(right)
+
+
+def half_bits(size: int) -> int:
+    """The smallest half for which the permutation covers ``size`` places."""
+    return max(1, -(-max(size - 1, 1).bit_length() // 2))
+
+
+def sample_sentences(
+    subjects: DataFrame, lists: Sequence[Sequence[str]], sentence: Callable[..., Column], label: int, n: int, key: str
+) -> DataFrame:
+    """``n`` different sentences (all, if fewer) from the product of subjects and slots, without making it.
+
+    Places of the product come in the order of a keyed permutation and are
+    decoded in mixed radix, the subject's number foremost.  Places beyond the
+    product are passed over, less than three of four; more are drawn only
+    while fillings that read the same leave too few sentences.  So about four
+    rows a sentence are made, however many subjects there are.  ``subjects``
+    has one column, without nulls.
+    """
+    spark, name = subjects.sparkSession, subjects.columns[0]
+    listed = stage(global_rank(subjects.where(F.col(name).isNotNull()).distinct(), F.col(name), name="number"), "subjects")
+    size = listed.count()
+    for values in lists:
+        size *= len(values)
+    bits, drawn = half_bits(size), 4 * n
+    while True:
+        places = spark.range(min(drawn, 4**bits)).select("id", permuted(F.col("id"), bits, key).alias("place"))
+        rest, filled = F.col("place"), []
+        for values in reversed(lists):
+            digit = F.pmod(rest, F.lit(len(values)))
+            filled.insert(0, F.array(*[F.lit(v) for v in values])[digit.cast("int")])
+            rest = ((rest - digit) / len(values)).cast("long")
+        slots_of = places.where(F.col("place") < size).select(
+            "id", (rest + 1).alias("number"), *[c.alias(f"slot{k}") for k, c in enumerate(filled)]
+        )
+        made = listed.join(F.broadcast(slots_of), "number")
+        texts = made.select("id", text.strip(sentence(F.col(name), *[F.col(f"slot{k}") for k in range(len(lists))])).alias("text"))
+        found = stage(texts.groupBy("text").agg(F.min("id").alias("id")), "sentences")
+        if drawn >= 4**bits or found.count() >= n:
+            return found.orderBy("id").limit(n).select("text", F.lit(label).alias("label"))
+        drawn *= 2
 
 
-def mixed_sentences(praise: DataFrame) -> DataFrame:
-    """A praising clause followed, with or without a contrast word, by a complaint."""
-    filled = slots(slots(praise, "contrast", [*lexicon.CONTRASTS, ""]), "complaint", lexicon.NEGATIVE_CLAUSES)
-    contrast = F.nullif(F.col("contrast"), F.lit(""))
-    return filled.select(F.concat_ws(" ", "praise", contrast, "complaint").alias("text"))
+def negated(subject: Column, negator: Column, word: Column, suffix: Column) -> Column:
+    return F.concat(subject, negator, F.lit(" "), word, suffix)
 
 
-def neutral_sentences(subjects: DataFrame) -> DataFrame:
-    filled = slots(subjects, "phrase", lexicon.NEUTRAL_PHRASES)
-    return filled.select(F.concat("subject", "phrase").alias("text"))
+def mixed(praise: Column, contrast: Column, complaint: Column) -> Column:
+    return F.concat_ws(" ", praise, F.nullif(contrast, F.lit("")), complaint)
 
 
 def augmentation(
@@ -81,13 +117,16 @@ def augmentation(
     praise: DataFrame,
     sizes: tuple[int, int, int, int] = (300, 100, 250, 150),
 ) -> DataFrame:
-    """Negated, mixed and neutral sentences with their labels."""
+    """Negated, mixed and neutral sentences with their labels, sampled from all combinations."""
+    good = [lexicon.NEGATORS, lexicon.POSITIVE_WORDS, lexicon.SUFFIXES]
+    bad = [lexicon.NEGATORS, lexicon.NEGATIVE_WORDS, lexicon.SUFFIXES]
+    contrasts = [[*lexicon.CONTRASTS, ""], lexicon.NEGATIVE_CLAUSES]
     return union_all(
         [
-            _pick(negation_sentences(subjects, lexicon.POSITIVE_WORDS), 0, sizes[0]),
-            _pick(negation_sentences(subjects, lexicon.NEGATIVE_WORDS), 2, sizes[1]),
-            _pick(mixed_sentences(praise), 1, sizes[2]),
-            _pick(neutral_sentences(neutral_subjects), 1, sizes[3]),
+            sample_sentences(subjects, good, negated, 0, sizes[0], "not good"),
+            sample_sentences(subjects, bad, negated, 2, sizes[1], "not bad"),
+            sample_sentences(praise, contrasts, mixed, 1, sizes[2], "mixed"),
+            sample_sentences(neutral_subjects, [lexicon.NEUTRAL_PHRASES], F.concat, 1, sizes[3], "neutral"),
         ]
     )
 

@@ -292,25 +292,36 @@ def sentences(t):
     return sentiment.augmentation(brand, kind, praise)
 
 
-def slot_sql(*parts: str) -> str:
-    return "regexp_replace(" + " || ".join(parts) + r", '^\s+|\s+$', '', 'g')"
-
-
-def _picked(source: str, sentence: str, label: int, n: int) -> str:
-    return f"""SELECT text, {label} AS label FROM (SELECT DISTINCT {sentence} AS text FROM {source}) ORDER BY md5(text) LIMIT {n}"""
-
-
-NEGATION = "(SELECT DISTINCT p_brand || ' ' AS b FROM part), (SELECT unnest({neg}) AS n), (SELECT unnest({words}) AS w), (SELECT unnest({suf}) AS s)"
+def sample_sql(source: str, lists: list[list[str]], sentence: str, label: int, n: int, key: str) -> str:
+    """The same sample: every place of the permutation, decoded; ``s0`` is the subject, then come the slots."""
+    per = 1
+    for values in lists:
+        per *= len(values)
+    mask, picks, below = "((1 << h) - 1)", [], 1
+    for k, values in reversed(list(enumerate(lists, 1))):
+        picks.append(f"({values})[1 + (p // {below}) % {len(values)}] AS s{k}")
+        below *= len(values)
+    left, right, turns = "l", "r", "SELECT i, h, i >> h AS l, i & ((1 << h) - 1) AS r, total FROM ids"
+    for turn in range(4):
+        digest = f"('0x' || substr(md5('{key}:{turn}:' || r), 1, 8))::BIGINT"
+        turns = f"SELECT i, h, r AS l, xor(l, {digest} & {mask}) AS r, total FROM ({turns})"
+    return f"""SELECT text, {label} AS label FROM (
+        WITH subjects AS (SELECT list(v ORDER BY v) AS all_v, len(list(v)) * {per} AS total FROM (SELECT DISTINCT {source} AS v FROM part)),
+        halves AS (SELECT *, (SELECT min(b) FROM range(1, 31) x(b) WHERE (1::BIGINT << (2 * b)) >= total) AS h FROM subjects),
+        ids AS (SELECT unnest(range(1::BIGINT << (2 * h))) AS i, h, total FROM halves),
+        places AS (SELECT i, (l << h) | r AS p, total FROM ({turns})),
+        filled AS (SELECT i, all_v[1 + p // {per}] AS s0, {", ".join(picks)} FROM places, (SELECT all_v FROM subjects) WHERE p < total)
+        SELECT regexp_replace({sentence}, '^\\s+|\\s+$', '', 'g') AS text, min(i) AS i FROM filled GROUP BY 1 ORDER BY 2 LIMIT {n})"""
+
+
+NEGATED = "s0 || s1 || ' ' || s2 || s3"
 AUGMENTED = "augmented AS (" + " UNION ALL ".join(
     f"({part})"
     for part in [
-        _picked(NEGATION.format(neg=lexicon.NEGATORS, words=lexicon.POSITIVE_WORDS, suf=lexicon.SUFFIXES), slot_sql("b", "n", "' '", "w", "s"), 0, 300),
-        _picked(NEGATION.format(neg=lexicon.NEGATORS, words=lexicon.NEGATIVE_WORDS, suf=lexicon.SUFFIXES), slot_sql("b", "n", "' '", "w", "s"), 2, 100),
-        _picked(
-            f"(SELECT DISTINCT p_name || ' đẹp' AS p FROM part), (SELECT unnest({[c + ' ' for c in lexicon.CONTRASTS] + ['']}) AS c), (SELECT unnest({lexicon.NEGATIVE_CLAUSES}) AS x)",
-            slot_sql("p", "' '", "c", "x"), 1, 250,
-        ),
-        _picked(f"(SELECT DISTINCT lower(p_type) || ' ' AS k FROM part), (SELECT unnest({lexicon.NEUTRAL_PHRASES}) AS f)", slot_sql("k", "f"), 1, 150),
+        sample_sql("p_brand || ' '", [lexicon.NEGATORS, lexicon.POSITIVE_WORDS, lexicon.SUFFIXES], NEGATED, 0, 300, "not good"),
+        sample_sql("p_brand || ' '", [lexicon.NEGATORS, lexicon.NEGATIVE_WORDS, lexicon.SUFFIXES], NEGATED, 2, 100, "not bad"),
+        sample_sql("p_name || ' đẹp'", [[*lexicon.CONTRASTS, ""], lexicon.NEGATIVE_CLAUSES], "concat_ws(' ', s0, nullif(s1, ''), s2)", 1, 250, "mixed"),
+        sample_sql("lower(p_type) || ' '", [lexicon.NEUTRAL_PHRASES], "s0 || s1", 1, 150, "neutral"),
     ]
 ) + ")"
 

@@ -161,6 +161,23 @@ def test_augmentation_sizes(spark):
     assert counted == {0: 300, 2: 100, 1: 250 + 95}
 
 
+def test_sampled_sentences(spark):
+    numbers = spark.range(64).select(sentiment.permuted(F.col("id"), 3, "k").alias("p")).collect()
+    assert sorted(r.p for r in numbers) == list(range(64)) != [r.p for r in numbers]
+    subjects = spark.createDataFrame([("a ",), ("b ",), ("b ",), (None,)], "s string")
+    lists = [["x", "x ", "y"], [" p", " q", ""]]
+    product = {(a + b + c).strip() for a in ("a ", "b ") for b in lists[0] for c in lists[1]}
+
+    def drawn(n, key="k"):
+        return [r.text for r in sentiment.sample_sentences(subjects, lists, F.concat, 1, n, key).collect()]
+
+    assert set(drawn(100)) == product and len(drawn(100)) == len(product)
+    for n in (1, 5, len(product)):  # a smaller sample is the start of a larger one
+        assert len(drawn(n)) == n and set(drawn(n)) <= set(drawn(100)) and set(drawn(1)) <= set(drawn(n))
+    assert drawn(5) != drawn(5, "other")
+    assert sentiment.sample_sentences(subjects.limit(0), lists, F.concat, 1, 5, "k").count() == 0
+
+
 CARD = """<ul><li class="item"><a class="main-contain" href="/dtdd/x-1" data-name="X 1 8GB/128GB" data-brand="BrandX">
 <strong class="price">4.690.000₫</strong><p class="price-old">4.890.000₫</p>
 <div class="rating_Compare"><div class="vote-txt"><i/><b>4.9</b></div><span>Đã bán 65,5k</span></div></a></li>

@@ -34,6 +34,25 @@ def test_each_key_once_over_batches_and_restarts(spark, tmp_path):
     assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_a_batch_reads_nothing_of_the_sink(spark, tmp_path):
+    source, sink, log = (str(tmp_path / n) for n in ("source", "sink", "log"))
+
+    def run():
+        stream = spark.readStream.schema("url string, at timestamp, n long").parquet(source)
+        ingest.ingest_new(stream, sink, "url", "n", log, name="q").awaitTermination()
+
+    write(spark, source, [("a", None, 2), (None, None, 3), (None, None, 1), ("b", None, None), ("b", None, 1)])
+    run()
+    first = tmp_path / "sink" / "query=q" / "batch=0"
+    assert sorted((r.url or "", r.n) for r in spark.read.parquet(str(first)).collect()) == [("", 1), ("a", 2), ("b", None)]
+    for file in first.glob("*.parquet"):
+        file.write_bytes(b"no longer a table")  # whoever reads it fails
+    write(spark, source, [("a", None, 0), (None, None, 0), ("c", None, 5), ("c", None, 4)])
+    run()
+    second = spark.read.parquet(str(tmp_path / "sink" / "query=q" / "batch=1")).collect()
+    assert [(r.url, r.n) for r in second] == [("c", 4)]
+
+
 def test_scores_a_stream(spark, tmp_path):
     rows = [(f"máy {w}", i) for i, w in enumerate(["tệ", "thường", "tốt"]) for _ in range(5)]
     model = sentiment.fit_sentiment(spark.createDataFrame(rows, "clean string, label int"), 10)
