@@ -123,20 +123,26 @@ class PieceModel:
         return tuple(out)
 
     def best(self, unit: str, count: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``count`` best segmentations of a unit, by falling score; ties by the order found.
+        """The ``count`` best segmentations of a unit, by falling score.
 
         Forward, Viterbi finds the best score up to every place.  Backward from the end, A* extends
-        partial paths in the order of their score plus the best score up to where they begin, which
-        is exact; so whole paths come out best first.
+        partial paths by what they lose against the best one, which is exact as losses only grow; so
+        whole paths come out best first.  Of equal ones the path that reaches farther goes on first,
+        then the one found earlier.  A place is passed by its ``count`` best partial paths at most:
+        each beyond these stands behind ``count`` paths that can be completed alike.  The work is
+        bounded by ``count`` times the edges, for runs of one letter, too.
         """
         into, size = self.lattice(unit), len(unit)
         ahead = [0.0] * (size + 1)
         for j in range(1, size + 1):
-            ahead[j] = max([ahead[i] + score if i == 0 or into[i] else float("-inf") for i, score, _ in into[j]], default=float("-inf"))
-        found, turn = [], 0
-        heap = [(-ahead[size], 0, size, 0.0, None)]
+            ahead[j] = max([ahead[i] + score for i, score, _ in into[j]], default=float("-inf"))
+        found, turn, passed = [], 0, [0] * (size + 1)
+        heap = [(0.0, size, 0, 0.0, None)]
         while heap and len(found) < count:
-            _, _, at, behind, path = heapq.heappop(heap)
+            lost, at, _, behind, path = heapq.heappop(heap)
+            if passed[at] == count:
+                continue
+            passed[at] += 1
             if at == 0:
                 steps = []
                 while path:
@@ -145,9 +151,9 @@ class PieceModel:
                 found.append((behind, self.spelled(unit, steps)))
                 continue
             for i, score, piece in into[at]:
-                if ahead[i] > float("-inf"):
+                if passed[i] < count:
                     turn += 1
-                    heapq.heappush(heap, (-(ahead[i] + score + behind), turn, i, score + behind, ((i, at, piece), path)))
+                    heapq.heappush(heap, (lost + (ahead[at] - (ahead[i] + score)), i, turn, score + behind, ((i, at, piece), path)))
         return found
 
     def others(self, unit: str, count: int) -> list[tuple[float, tuple[int, ...]]]:

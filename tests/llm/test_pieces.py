@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -76,6 +77,19 @@ def test_long_units_and_short_ones_agree(toy):
     assert toy.decode(ids.tolist()) == text[:24]
 
 
+def test_runs_of_one_letter(toy, model):
+    check(toy, ["a" * 9, "abc" * 4, "cab" * 4], 7)
+    twins = PieceModel.of(["a", "aa", "aaa"], [-1.0, -2.0, -3.0], [False] * 3, 0)  # every path ties
+    found = twins.best("a" * 40, 6)
+    assert len({ids for _, ids in found}) == 6 and {s for s, _ in found} == {-40.0}
+    assert [len(set(twins.best("aaa", n))) for n in (1, 2, 4, 9)] == [1, 2, 4, 4]
+    for m, paths in ((toy, 1), (model, 3), (twins, 3)):
+        begun = time.monotonic()
+        best = m.best("a" * 100_000, 3)
+        assert time.monotonic() - begun < 5 * 2 and len({ids for _, ids in best}) == paths  # twice, for slow machines
+        assert all("".join([m.pieces[i] for i in ids]) == "a" * 100_000 for _, ids in best)
+
+
 def test_combinations():
     lists = [[0, 1.0, 2.5], [0, 0.5], [0]]
     assert [round(s, 2) for s, _ in combinations(lists, 10)] == [0, 0.5, 1.0, 1.5, 2.5, 3.0]
