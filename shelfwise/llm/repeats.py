@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from shelfwise.llm import exchange
 from shelfwise.llm.common import binary_column, bytes_of, ids_of, in_blocks, staged
@@ -291,8 +292,13 @@ def remove_repeats(
         columns += [pa.array(units.sizes, pa.int64()), pa.array(removed, pa.int64()), spans, binary_column(kept, kept_offsets)]
         return pa.table(columns, names=["id", "text", *carried, "n_units", "n_removed", "spans", "kept"])
 
-    extra = "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name in carried)
-    schema = f"id long, text string{extra}, n_units long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"
+    # Types as they are, for a carried struct may have fields that can't be null.
+    schema = StructType.fromDDL("id long, text string")
+    for field in texts.schema:
+        if field.name in carried:
+            schema = schema.add(field.name, field.dataType)
+    for field in StructType.fromDDL("n_units long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"):
+        schema = schema.add(field)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
 
 
