@@ -1,6 +1,7 @@
 """Incremental ingestion and scoring."""
 
 from shelfwise.operators import sentiment
+from shelfwise.sources.tables import Tables
 from shelfwise.streaming import ingest, scoring
 
 
@@ -62,3 +63,15 @@ def test_scores_a_stream(spark, tmp_path):
     scoring.score_stream(stream, model, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.id, r.label) for r in found] == [(1, 2)]
+
+
+def test_a_table_streams_as_one_file_or_as_a_folder_of_files(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(6)], "conv_id long, text string")
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "conversations.parquet"))
+    (tmp_path / "one").mkdir()
+    rows.toPandas().to_parquet(tmp_path / "one" / "conversations.parquet")
+    for folder in ("many", "one"):
+        stream = Tables(spark, str(tmp_path / folder)).stream("conversations")
+        sink, log = (str(tmp_path / folder / n) for n in ("sink", "log"))
+        stream.writeStream.format("parquet").option("checkpointLocation", log).trigger(availableNow=True).start(sink).awaitTermination()
+        assert sorted(r.text for r in spark.read.parquet(sink).collect()) == [f"t{i}" for i in range(6)]
