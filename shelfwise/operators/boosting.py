@@ -1,11 +1,11 @@
 """Boosted regression trees with an L2 penalty, grown from histograms; many models in the same passes.
 
-Rows are binned once and stored as one byte a feature.  A pass over them grows one level of one tree of
+Rows are binned once and stored as one byte a feature, some thousands of rows a block.  A pass over them grows one level of one tree of
 every model at hand: tasks add up gradients and counts (the Hessian of a squared error) by node, feature and
 bin, a shuffle adds the tasks' sums by model, and the best splits, not the sums, come back.  A search over
 parameter sets and folds so costs the passes of its deepest model, and weak sets leave after a few trees.
-A table so small that it is one partition needs no shuffle between levels: it is copied for each core, models are
-dealt over the copies, and a pass grows several trees.  The models are the same either way.
+A table of at most ``COPIED_ROWS`` rows (some 60 MB) needs no shuffle between levels: it is copied for each core, models
+are dealt over the copies, and a pass grows several trees.  The models are the same either way.
 
 Gradients are whole multiples of a power of two, so their sums are exact: neither the number of tasks nor
 their order changes a model.
@@ -21,13 +21,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.session import settings, stage
 
 #: Bins of a feature, and how many tasks' sums one step adds up.
 BINS, FAN_IN = 64, 64
+#: Rows up to which a table is copied for each core, as a broadcast table would be.
+COPIED_ROWS = 1 << 21
+BLOCK = "row binary, fold binary, y binary, x binary, margins binary"
 SUMS = "model int, part long, sums binary, error double, held long"
 SPLIT = "model int, node int, feature int, cut int, total_g double, total_h double, left_g double, left_h double, error double, held long"
 
@@ -59,13 +61,16 @@ class Tree:
         """The node in which each row ends."""
         node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
         for _ in range((len(self.feature) + 1).bit_length() - 2):
-            feature = self.feature[node]
-            inner = feature >= 0
-            if not inner.any():
+            if not (self.feature[node] >= 0).any():
                 break
-            node = np.where(inner, 2 * node + 1 + (x[rows, feature] > self.cut[node]), node)
+            node = self.below(x, node, rows)
         return node
 
+    def below(self, x: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Where each row goes from its node; it stays where there is no split."""
+        feature = self.feature[node]
+        return np.where(feature >= 0, 2 * node + 1 + (x[rows, feature] > self.cut[node]), node)
+
 
 @dataclass
 class BoostedModel:
@@ -170,24 +175,37 @@ def margin_of(x: np.ndarray, margins: np.ndarray, grow: Growing) -> np.ndarray:
     return margin
 
 
+def fold_error(margin: np.ndarray, y: np.ndarray, fold: np.ndarray, held: int | None) -> tuple[float, int]:
+    """The squared error over the model's fold, and the fold's rows."""
+    if held is None:
+        return 0.0, 0
+    out = fold == held
+    return float(((margin - y)[out] ** 2).sum()), int(out.sum())
+
+
+def trains(row: np.ndarray, fold: np.ndarray, grow: Growing) -> np.ndarray:
+    """Rows that the tree sees."""
+    seen = drawn(row, grow.seed, grow.number, grow.share)
+    return seen if grow.fold is None else seen & (fold != grow.fold)
+
+
+def histograms(x: np.ndarray, at: np.ndarray, node: np.ndarray, gradient: np.ndarray, nodes: int, bins: int) -> np.ndarray:
+    """Gradients and counts by node, feature and bin of the rows ``at``; a feature at a time, so nothing is as wide as the table."""
+    sums, first = np.zeros((2, nodes, x.shape[1], bins)), node * bins
+    for f in range(x.shape[1]):
+        place = first + x[:, f][at]
+        sums[0, :, f] = np.bincount(place, gradient, nodes * bins).reshape(nodes, bins)
+        sums[1, :, f] = np.bincount(place, minlength=nodes * bins).reshape(nodes, bins)
+    return sums
+
+
 def level_sums(x: np.ndarray, y: np.ndarray, fold: np.ndarray, row: np.ndarray, margins: np.ndarray, grow: Growing, scale: float, bins: int) -> tuple[np.ndarray, float, int]:
     """Gradients and counts by node of the level, feature and bin; and the squared error over the model's fold."""
     margin = margin_of(x, margins, grow)
-    error, held = 0.0, 0
-    if grow.level == 0 and grow.fold is not None:
-        out = fold == grow.fold
-        error, held = float(((margin - y)[out] ** 2).sum()), int(out.sum())
-    first = (1 << grow.level) - 1
-    node = grow.tree.leaves(x) - first
-    seen = (node >= 0) & drawn(row, grow.seed, grow.number, grow.share)
-    if grow.fold is not None:
-        seen &= fold != grow.fold
-    width = x.shape[1]
-    gradient = np.rint((margin - y)[seen] * scale)
-    place = ((node[seen, None] * width + np.arange(width)) * bins + x[seen]).ravel()
-    size = (1 << grow.level) * width * bins
-    sums = [np.bincount(place, np.repeat(gradient, width), size), np.bincount(place, minlength=size).astype(np.float64)]
-    return np.stack(sums).reshape(2, 1 << grow.level, width, bins), error, held
+    error, held = fold_error(margin, y, fold, grow.fold) if grow.level == 0 else (0.0, 0)
+    node = grow.tree.leaves(x) - ((1 << grow.level) - 1)
+    seen = np.flatnonzero((node >= 0) & trains(row, fold, grow))
+    return histograms(x, seen, node[seen], np.rint((margin - y)[seen] * scale), 1 << grow.level, bins), error, held
 
 
 def packed_sums(sums: np.ndarray) -> bytes:
@@ -239,11 +257,20 @@ def place_splits(tree: Tree, waiting: set[int], level: int, found: Sequence[tupl
             tree.value[n] = -rate * g / (h + penalty) if h + penalty else 0.0
 
 
-def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    y, fold, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "fold", "row"))
-    x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-    margins = batch.column("margins").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-    return x, y, fold, row, margins
+def block(row: np.ndarray, fold: np.ndarray, y: np.ndarray, x: np.ndarray, margins: np.ndarray) -> pa.RecordBatch:
+    """Rows as one row of bytes; features stand one after another, sums row by row."""
+    made = (row.astype(np.int64), fold.astype(np.int32), y.astype(np.float64), x.T.astype(np.uint8), margins.astype(np.float64))
+    return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(a).tobytes()], pa.binary()) for a in made], [c.split()[0] for c in BLOCK.split(", ")])
+
+
+def arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Features, target, fold, row and sums of each block."""
+    for i in range(batch.num_rows):
+        row, fold, y, x, margins = (
+            np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+            for c, kind in (("row", np.int64), ("fold", np.int32), ("y", np.float64), ("x", np.uint8), ("margins", np.float64))
+        )
+        yield x.reshape(-1, len(row)).T, y, fold, row, margins.reshape(len(row), -1)
 
 
 class Booster:
@@ -258,20 +285,21 @@ class Booster:
             for batch in batches:
                 columns = [np.searchsorted(e, batch.column(str(i)).to_numpy(zero_copy_only=False)) for i, e in enumerate(edges)]
                 x = np.column_stack(columns).astype(np.uint8) if columns else np.zeros((batch.num_rows, 0), np.uint8)
-                none = pa.array([[]] * batch.num_rows, pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "fold", "y")], pa.array([r.tobytes() for r in x], pa.binary()), none], ["row", "fold", "y", "x", "margins"])
+                if batch.num_rows:
+                    row, fold, y = (c.to_numpy(zero_copy_only=False) for c in (batch.column("row"), batch.column("fold").fill_null(-1), batch.column("y")))
+                    yield block(row, fold, y, x, np.zeros((batch.num_rows, 0)))
 
         fold = F.col("fold").cast("int") if "fold" in rows.columns else F.lit(0)
         values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(str(i)) for i, c in enumerate(self.features)]
         asked = rows.select(F.xxhash64(key).alias("row"), fold.alias("fold"), F.col("target").cast("double").alias("y"), *values)
-        self.stored = stage(asked.mapInArrow(binned, "row long, fold int, y double, x binary, margins array<double>"), "binned", even=True)
-        self.table, self.copies = self.stored, 0
+        self.stored = stage(asked.mapInArrow(binned, BLOCK), "binned", even=True)
+        about = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("most")).first()
+        self.rows, self.table, self.copies = about.n, self.stored, 0
         self.deal()
-        about = self.stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("most")).first()
         # The largest power of two at which no sum of gradients, even of twice the largest target, passes 2^52.
         self.scale = 2.0 ** min(40, 51 - math.ceil(math.log2(max(1e-9, about.most or 0.0) * 4 * max(1, about.n))))
         whole = F.sum(F.rint(F.col("y") * self.scale).cast("decimal(38,0)"))
-        sums = self.stored.groupBy("fold").agg(whole.alias("y"), F.count(F.lit(1)).alias("n")).collect()
+        sums = asked.groupBy("fold").agg(whole.alias("y"), F.count(F.lit(1)).alias("n")).collect()
         self.folds = {r.fold: (int(r.y) / self.scale, r.n) for r in sums}
         self.held: list[Fit] = []
 
@@ -280,10 +308,11 @@ class Booster:
         self.close()
         self.parts = self.stored.rdd.getNumPartitions()
         self.table, self.copies = self.stored, 0
-        if self.parts == 1:
+        if self.rows <= COPIED_ROWS:
             self.copies = self.spark.sparkContext.defaultParallelism
             copied = self.stored.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(self.copies - 1))))
-            self.table = copied.repartitionByRange(self.copies, "copy").persist()
+            with settings(self.spark, {"spark.sql.adaptive.enabled": "false"}):  # as passes have it, which look the kept table up
+                self.table = copied.repartitionByRange(self.copies, "copy").persist()
 
     def close(self) -> None:
         if self.copies:
@@ -314,10 +343,13 @@ class Booster:
         copies, scale, bins, width = self.copies, self.scale, self.bins, len(self.features)
 
         def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = list(batches)
-            table = pa.Table.from_batches(rows) if rows else None
-            for copy in np.unique(table.column("copy").to_numpy()).tolist() if table is not None else []:
-                x, y, fold, row, _ = arrays(table.filter(pc.equal(table.column("copy"), copy)).combine_chunks().to_batches()[0])
+            held_blocks: dict[int, list] = {}
+            for batch in batches:
+                for copy, given in zip(batch.column("copy").to_pylist(), arrays(batch)):
+                    held_blocks.setdefault(copy, []).append(given)
+            for copy in sorted(held_blocks):
+                x, y, fold, row, _ = (np.concatenate(c) for c in zip(*held_blocks[copy]))
+                x, rows = np.asfortranarray(x), np.arange(len(x))
                 out = [[], [], [], [], []]
                 for model in range(copy, len(fits), copies):
                     fit = fits[model]
@@ -327,16 +359,20 @@ class Booster:
                     for number in range(len(fit.trees), min(len(fit.trees) + trees, fit.params.n_estimators) + 1):
                         tree, waiting, error = Tree.empty(fit.params.max_depth), {0}, 0.0
                         grow = Growing(model, 0, fit.fold, fit.seed, number, fit.params.subsample, fit.base, [], tree, 0)
-                        for grow.level in range(fit.params.max_depth):
-                            if not waiting:
-                                break
-                            sums, squared, held = level_sums(x, y, fold, row, margin[:, None], grow, scale, bins)
-                            if grow.level == 0:
-                                error = math.sqrt(squared / held) if held else 0.0
-                                if number == min(len(fit.trees) + trees, fit.params.n_estimators):
-                                    break  # only the error after the last tree
-                            place_splits(tree, waiting, grow.level, [*enumerate(best_splits(sums, fit.offered(width, number), fit.params.reg_lambda, scale))], fit.params)
-                        margin = margin + tree.value[tree.leaves(x)]
+                        squared, held = fold_error(margin, y, fold, fit.fold)
+                        error = math.sqrt(squared / held) if held else 0.0
+                        if number < min(len(fit.trees) + trees, fit.params.n_estimators):  # else only the error after the last tree
+                            seen, gradient, node = trains(row, fold, grow), np.rint((margin - y) * scale), np.zeros(len(x), np.int64)
+                            for grow.level in range(fit.params.max_depth):
+                                if not waiting:
+                                    break
+                                nodes = 1 << grow.level
+                                at = np.flatnonzero(seen & (node >= nodes - 1))
+                                sums = histograms(x, at, node[at] - (nodes - 1), gradient[at], nodes, bins)
+                                place_splits(tree, waiting, grow.level, [*enumerate(best_splits(sums, fit.offered(width, number), fit.params.reg_lambda, scale))], fit.params)
+                                if (tree.feature[nodes - 1 : 2 * nodes - 1] >= 0).any():
+                                    node = tree.below(x, node, rows)
+                            margin = margin + tree.value[node]
                         for column, value in zip(out, (model, number, np.stack([tree.feature, tree.cut, tree.value]).astype(np.float64).tobytes(), error, fit.fold is not None)):
                             column.append(value)
                 kinds = (pa.int32(), pa.int32(), pa.binary(), pa.float64(), pa.bool_())
@@ -407,13 +443,13 @@ class Booster:
             total: dict[int, list] = {}
             part = 0
             for batch in batches:
-                given = arrays(batch)
-                part = int(given[3][0] & 0x7FFFFFFF)
-                for g in growing:
-                    sums, error, held = level_sums(*given, g, scale, bins)
-                    if g.model in total:
-                        sums, error, held = total[g.model][0] + sums, total[g.model][1] + error, total[g.model][2] + held
-                    total[g.model] = [sums, error, held]
+                for given in arrays(batch):
+                    part = int(given[3][0] & 0x7FFFFFFF)
+                    for g in growing:
+                        sums, error, held = level_sums(*given, g, scale, bins)
+                        if g.model in total:
+                            sums, error, held = total[g.model][0] + sums, total[g.model][1] + error, total[g.model][2] + held
+                        total[g.model] = [sums, error, held]
             yield from sent(total, part).to_batches()
 
         def by_model(table: pa.Table) -> dict[int, list]:
@@ -438,12 +474,10 @@ class Booster:
 
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x, _, _, _, margins = arrays(batch)
-                flat = pa.array(np.column_stack([margin_of(x, margins, g) for g in held]).ravel())
-                ends = pa.array(np.arange(0, len(flat) + 1, len(held)), pa.int32())
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "fold", "y", "x")], pa.ListArray.from_arrays(ends, flat)], ["row", "fold", "y", "x", "margins"])
+                for x, y, fold, row, margins in arrays(batch):
+                    yield block(row, fold, y, x, np.column_stack([margin_of(x, margins, g) for g in held]))
 
-        self.stored = stage(self.stored.mapInArrow(summed, "row long, fold int, y double, x binary, margins array<double>"), "margins")
+        self.stored = stage(self.stored.mapInArrow(summed, BLOCK), "margins")
         self.deal()
         for fit in fits:
             fit.stored = len(fit.trees)

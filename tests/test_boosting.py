@@ -121,3 +121,19 @@ def test_empty_columns_and_gaps(spark):
     rows = spark.createDataFrame([(f"k{i}", float(i % 3), None, float(i), i % 2) for i in range(12)], "key string, a double, b double, target double, fold int")
     model = fit_boosted(rows, ["a", "b"], [BoostParams(3, 2)], "key")[0]
     assert model.transform(rows).where("prediction IS NULL OR isnan(prediction)").count() == 0
+
+
+def test_a_table_of_several_partitions_grows_as_one_of_blocks(rows, data, monkeypatch):
+    monkeypatch.setattr(boosting, "stage", lambda df, name, even=False: df.repartition(5).cache())
+    grown = []
+    for most in (1 << 21, 0):  # copied for each core, or level by level
+        monkeypatch.setattr(boosting, "COPIED_ROWS", most)
+        booster = Booster(rows, FEATURES, "key")
+        assert bool(booster.copies) == bool(most)
+        fits = booster.start([Fit(BoostParams(3, 3, subsample=0.8), fold) for fold in range(2)])
+        booster.grow(fits, 3, every=2)
+        booster.errors(fits)
+        booster.close()
+        grown.append([(t.feature.tolist(), t.cut.tolist(), t.value.tolist()) for f in fits for t in f.trees])
+        grown[-1].append([round(e, 9) for f in fits for e in f.errors])
+    assert grown[0] == grown[1]
