@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -18,6 +20,9 @@ from shelfwise.functions.ranking import scalar_struct
 from shelfwise.operators.cleaning import impute_median, present, with_segment
 from shelfwise.session import stage
 
+#: Iterations of a clustering at most, and how far centres at rest may move: MLlib's own.
+MAX_ITER, TOLERANCE = 100, 1e-4
+
 
 def feature_columns(products: DataFrame, features: Sequence[str] = lexicon.SEGMENT_FEATURES) -> list[str]:
     found = present(products, features)
@@ -66,14 +71,105 @@ def with_vector(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
     return VectorAssembler(inputCols=names, outputCol="scaled").transform(scaled).drop(*names)
 
 
-def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42) -> KMeansModel:
-    """The run of least cost among several starts."""
+def _kmeans(k: int, seed: int, max_iter: int = MAX_ITER) -> KMeans:
+    return KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol="cluster_id", maxIter=max_iter, tol=TOLERANCE)
+
+
+@dataclass(eq=False)
+class Start:
+    """A start's centres on their way, and the cost at the last assignment."""
+
+    k: int
+    seed: int
+    centres: np.ndarray
+    cost: float = float("inf")
+    moving: bool = True
+
+    def sums(self, x: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, float]:
+        """Count and sums of each cluster's rows, and the cost of the rows."""
+        away = (self.centres**2).sum(axis=1) - 2 * (x @ self.centres.T)
+        nearest = away.argmin(axis=1)
+        cost = np.maximum(away[np.arange(len(x)), nearest] + squares, 0.0).sum()
+        parts = [np.bincount(nearest, w, len(self.centres)) for w in (None, *x.T)]
+        return np.column_stack(parts), float(cost)
+
+    def move(self, found: np.ndarray) -> None:
+        held = found[:, 0] > 0
+        moved = self.centres.copy()
+        moved[held] = found[held, 1:] / found[held, :1]
+        self.moving = bool((((moved - self.centres) ** 2).sum(axis=1) > TOLERANCE**2).any())
+        self.centres = moved
+
 
-    def fit(start: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + start, featuresCol="scaled", predictionCol="cluster_id", maxIter=100).fit(vectors)
+def settle(vectors: DataFrame, starts: Sequence[Start], max_iter: int = MAX_ITER) -> None:
+    """Lloyd's iterations of all starts in the same passes, each until its centres rest, as MLlib's run one by one.
 
+    A task adds up its rows for every start; only sums per cluster leave it.
+    """
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64()), pa.array([x.tobytes()], pa.binary())], ["n", "x"])
+
+    blocks = stage(vectors.select(vector_to_array("scaled").alias("x")).mapInArrow(packed, "n long, x binary"), "points").persist()
+    for _ in range(max_iter):
+        live = [(i, s) for i, s in enumerate(starts) if s.moving]
+        if not live:
+            break
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, list] = {}
+            for batch in batches:
+                for n, x in zip(batch.column("n").to_pylist(), batch.column("x")):
+                    rows = np.frombuffer(x.as_buffer(), np.float64).reshape(n, -1)
+                    squares = (rows**2).sum(axis=1)
+                    for i, s in live:
+                        sums, cost = s.sums(rows, squares)
+                        of = total.setdefault(i, [0.0, 0.0])
+                        of[:] = of[0] + sums, of[1] + cost
+            made = [(i, j, cost if j == 0 else 0.0, row.tolist()) for i, (sums, cost) in total.items() for j, row in enumerate(sums)]
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64()))
+            columns = zip(*made) if made else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["start", "cluster", "cost", "sums"])
+
+        width = live[0][1].centres.shape[1] + 1
+        of_tasks = blocks.mapInArrow(added, "start int, cluster int, cost double, sums array<double>")
+        rows = of_tasks.groupBy("start", "cluster").agg(F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("sums")[c]) for c in range(width)]).alias("sums")).collect()
+        for i, s in live:
+            own = sorted((r for r in rows if r.start == i), key=lambda r: r.cluster)
+            s.cost = sum(r.cost for r in own)
+            s.move(np.array([r.sums for r in own]))
+    blocks.unpersist()
+
+
+def best_starts(vectors: DataFrame, ks: Iterable[int], restarts: int = 20, seed: int = 42) -> dict[int, KMeansModel]:
+    """For each number of clusters the run of least cost among several starts; of equals the first.
+
+    MLlib draws every start's first centres (a fit without iterations), all starts are settled in shared passes, and
+    MLlib fits the best one, so models are its own.
+    """
+
+    def drawn(asked: tuple[int, int]) -> Start:
+        k, start = asked
+        return Start(k, seed + start, np.array(_kmeans(k, seed + start, 0).fit(vectors).clusterCenters()))
+
+    ks = list(ks)
     with ThreadPoolExecutor(8) as pool:
-        return min(pool.map(fit, range(restarts)), key=lambda m: m.summary.trainingCost)
+        starts = list(pool.map(drawn, [(k, start) for k in ks for start in range(restarts)]))
+        settle(vectors, starts)
+        chosen = []
+        for k in ks:
+            own = [s for s in starts if s.k == k]
+            least = min(s.cost for s in own)
+            chosen.append(next(s for s in own if s.cost <= least * (1 + 1e-9)))
+        return dict(zip(ks, pool.map(lambda s: _kmeans(s.k, s.seed).fit(vectors), chosen)))
+
+
+def best_kmeans(vectors: DataFrame, k: int, restarts: int = 20, seed: int = 42) -> KMeansModel:
+    """The run of least cost among several starts."""
+    return best_starts(vectors, [k], restarts, seed)[k]
 
 
 def silhouette(clustered: DataFrame) -> float:
@@ -85,10 +181,8 @@ def k_scores(
     vectors: DataFrame, ks: Iterable[int], restarts: int = 20, seed: int = 42
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """Inertia and silhouette per number of clusters, and the models."""
-    models, rows = {}, []
-    for k in ks:
-        models[k] = best_kmeans(vectors, k, restarts, seed)
-        rows.append((k, float(models[k].summary.trainingCost), silhouette(models[k].transform(vectors))))
+    models = best_starts(vectors, ks, restarts, seed)
+    rows = [(k, float(model.summary.trainingCost), silhouette(model.transform(vectors))) for k, model in models.items()]
     schema = "k int, inertia double, silhouette double"
     return vectors.sparkSession.createDataFrame(rows, schema), models
 

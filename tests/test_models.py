@@ -195,3 +195,16 @@ def test_folds_do_not_depend_on_order(texts):
     one = kfold(texts, "key").select("key", "fold")
     two = kfold(texts.orderBy(F.desc("key")).repartition(3), "key").select("key", "fold")
     assert one.exceptAll(two).count() == 0
+
+
+def test_starts_settle_in_shared_passes_as_mllib_settles_each(spark):
+    rng = np.random.default_rng(5)
+    rows = [((rng.normal(0, 0.8, 2) + c).tolist(),) for c in ([0, 0], [3, 1], [1, 4]) for _ in range(60)]
+    df = spark.createDataFrame(rows, "x array<double>").select(array_to_vector("x").alias("scaled")).repartition(3).persist()
+    asked = [(k, seed) for k in (2, 4) for seed in (42, 43)]
+    starts = [segments.Start(k, seed, np.array(segments._kmeans(k, seed, 0).fit(df).clusterCenters())) for k, seed in asked]
+    segments.settle(df, starts)
+    for start, (k, seed) in zip(starts, asked):
+        own = segments._kmeans(k, seed).fit(df)
+        assert np.isclose(start.cost, own.summary.trainingCost, rtol=1e-9)
+        assert np.allclose(start.centres, own.clusterCenters(), atol=1e-9)
