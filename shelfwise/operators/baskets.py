@@ -13,13 +13,28 @@ from shelfwise.session import stage
 from shelfwise.sources.readers import require_columns
 
 
+#: Items that a whole number marks, a bit each.
+BITS = 63
+
+
 def basket_onehot(baskets: DataFrame, items: Sequence[str]) -> DataFrame:
-    """Transactions by a listed set of items, 0 or 1; ``basket_arrays`` is the long form."""
-    return (
-        baskets.groupBy("Transaction_ID")
-        .pivot("Product_ID", list(items))
-        .agg(F.max(F.lit(1)))
-        .na.fill(0)
+    """Transactions by a listed set of items, 0 or 1; ``basket_arrays`` is the long form.
+
+    A transaction is held as a bit an item until its columns are made, so a task holds few bytes for each.
+    """
+    place = F.array_position(F.array(*[F.lit(item) for item in items]), F.col("Product_ID")) - 1
+    marks = [f"_{first}" for first in range(0, len(items), BITS)]
+    sold = baskets.select("Transaction_ID", place.alias("_place")).select(
+        "Transaction_ID",
+        *[
+            F.when(F.col("_place").between(first, first + BITS - 1), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_place") - first).cast("int"))).alias(mark)
+            for first, mark in zip(range(0, len(items), BITS), marks)
+        ],
+    )
+    bits = sold.groupBy("Transaction_ID").agg(*[F.coalesce(F.bit_or(m), F.lit(0).cast("long")).alias(m) for m in marks])
+    return bits.select(
+        "Transaction_ID",
+        *[F.shiftright(marks[i // BITS], i % BITS).bitwiseAND(1).cast("int").alias(item) for i, item in enumerate(items)],
     )
 
 
