@@ -32,6 +32,17 @@ def left_join_sentiment(products: DataFrame, scored: DataFrame | None, neutral:
     )
 
 
+#: Characters of text whose words a task counts.
+PART_CHARS = 1 << 23
+
+
+def dealt_by_key(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """The texts dealt out by key, so that counting their words by key moves no word."""
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = docs.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0]
+    return docs.select(key, column).repartition(max(least, -(-chars // PART_CHARS)), key)
+
+
 def dictionary_join(
     docs: DataFrame, dictionary: DataFrame, key: str, column: str, salts: int = 32
 ) -> DataFrame:

@@ -42,7 +42,8 @@ def _(t):
         FROM (SELECT doc_id, unnest({sql.words_sql('lower(text)')}) AS token FROM documents) GROUP BY ALL""",
 )
 def _(t):
-    words = joins.dictionary_join(t.documents, dictionary(t), "doc_id", "text")
+    docs = joins.dealt_by_key(t.documents, "doc_id", "text")
+    words = joins.dictionary_join(docs, dictionary(t), "doc_id", "text")
     return words.groupBy("doc_id", "token", "replacement").agg(F.count(F.lit(1)).alias("n"))
 
 
