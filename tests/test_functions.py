@@ -99,6 +99,20 @@ def test_clean_text(spark):
     assert apply(spark, list(cases), clean) == list(cases.values())
 
 
+def test_signs_and_blanks_part_words(spark):
+    """Also without a test of range after range for every character."""
+    signs = [chr(n) for n in [*range(0xC0), 0x1680, 0x1EFA, 0x2003, 0x3042, 0x1F600] if not (chr(n).isascii() and chr(n).isalnum())]
+    found = apply(spark, [f"a{s}b" for s in signs], lambda c: text.clean_text(c, {}))
+    assert found == ["a b"] * len(signs)
+    assert apply(spark, ["À×ỹ ß9"], lambda c: text.clean_text(c, {})) == ["à×ỹ ß9"]
+    assert r"\s" not in text.BETWEEN_WORDS and "[^" not in text.BETWEEN_WORDS
+
+
+def test_different_words_have_all_runs(spark):
+    once, whole = ({*apply(spark, ["ab abc ab  b"], f)[0]} for f in (lambda c: text.char_ngrams(text.each_once(c)), text.char_ngrams))
+    assert once == whole and apply(spark, ["ab abc ab  b", "", None], text.each_once) == ["ab abc b", "", None]
+
+
 def test_one_letter_words_are_no_terms(spark):
     assert apply(spark, ["ở a bc d", "a", "ab c đe"], text.word_ngrams) == [["bc"], [], ["ab", "đe", "ab đe"]]
 

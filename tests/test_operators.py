@@ -1,5 +1,6 @@
 """Golden rows and brute-force checks of the operators."""
 
+import re
 from itertools import combinations
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise import lexicon
 from shelfwise.operators import aspects, baskets, evaluate, forecast, joins, phrases, pricing, profile, sentiment
 from shelfwise.plans import flows
+from shelfwise.session import stage
 from shelfwise.sources import html, readers, writers
 
 
@@ -150,6 +152,42 @@ def test_segment_phrases(spark):
     assert found == {i: greedy(t.split(), listed) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("most", [0, phrases.MOST_PHRASES])
+def test_segmented_texts_move_no_words(spark, monkeypatch, most):
+    monkeypatch.setattr(phrases, "MOST_PHRASES", most)
+    texts = ["a b a b c", "a a b", "b a b a b b", "", None, "c", "x a b y b c a", "a a"]
+    keys = [1, 2, None, 4, 5, 6, 7, 8]
+    listed = {("a", "b"), ("b", "a"), ("b", "c")}
+    docs = spark.createDataFrame(list(zip(keys, texts)), "id long, t string")
+    pairs = spark.createDataFrame(list(listed), "first string, second string")
+    found = phrases.segment_phrases(docs, pairs, "id", "t")
+    assert {r.id: r.segmented for r in found.collect()} == {k: greedy((t or "").split(), listed) for k, t in zip(keys, texts)}
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    twice = {r.id: r.segmented for r in phrases.segment_phrases(docs.union(docs.where("id = 8")), pairs, "id", "t").collect()}
+    assert twice.pop(8) == "a a a a" and len(twice) == len(keys) - 1
+
+
+def test_words_counted_by_key_move_no_words(spark):
+    docs = spark.createDataFrame([(1, "a it a"), (2, "it b"), (1, "a"), (None, "c c"), (3, None)], "id long, t string")
+    entries = stage(spark.createDataFrame([("it", "the")], "token string, replacement string"), "entries")
+    words = joins.dictionary_join(joins.dealt_by_key(docs, "id", "t"), entries, "id", "t")
+    counted = words.groupBy("id", "token", "replacement").agg(F.count("*").alias("n"))
+    assert sorted((r.id or 0, r.token, r.replacement, r.n) for r in counted.collect()) == [
+        (0, "c", "c", 2), (1, "a", "a", 3), (1, "it", "the", 1), (2, "b", "b", 1), (2, "it", "the", 1),
+    ]
+    assert not re.search(r"hashpartitioning\([^()]*token", counted._jdf.queryExecution().executedPlan().toString())
+
+
+def test_onehot_holds_bits(spark):
+    items = [f"i{k}" for k in range(130)]
+    rows = [("x", "i0"), ("x", "i62"), ("x", "i62"), ("x", "i63"), ("y", "i129"), ("y", "other"), ("z", "other"), ("n", None), (None, "i5")]
+    found = baskets.basket_onehot(spark.createDataFrame(rows, "Transaction_ID string, Product_ID string"), items)
+    assert found.columns == ["Transaction_ID", *items] and {t for _, t in found.dtypes[1:]} == {"int"}
+    marked = {r[0]: [c for c, v in zip(found.columns[1:], r[1:]) if v] for r in found.collect()}
+    assert marked == {"x": ["i0", "i62", "i63"], "y": ["i129"], "z": [], "n": [], None: ["i5"]}
+    assert "pivotfirst" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_label_reviews_keeps_first(spark):
     rows = [("p", "P", 3, "Tốt!", "5", "0"), ("p", "P", 1, "tốt || note", "4", "0"), ("p", "P", 2, "tốt", "1", "0"), ("p", "P", 4, "!!", "5", "0"), ("p", "P", 5, "x", None, "0")]
     found = flows.label_reviews(reviews(spark, rows)).orderBy("ordinal").collect()
