@@ -322,3 +322,36 @@ def test_rules_of_long_itemsets(spark):
     found = baskets.rule_arrays(baskets.frequent_itemsets(df, 0.15), 0.7, 1.1).where(~F.array_contains("a", "x") & ~F.array_contains("c", "x"))
     found = [r for r in found.collect() if not set("xy,") & set(r.a + r.c)]
     assert {(tuple(r.a), tuple(r.c), round(r.confidence, 6)) for r in found} == expected
+
+
+@pytest.mark.parametrize("listed", [True, False])
+def test_itemsets_of_odd_baskets(spark, monkeypatch, listed):
+    if not listed:
+        monkeypatch.setattr(baskets, "few_items", lambda df: None)
+    tx = {"1": "abc", "2": "abc", "3": "ab", "4": "c", "5": "d", "6": "", None: "bc"}
+    rows = [(t, p) for t, items in tx.items() for p in items or [None]]
+    df = spark.createDataFrame(rows + rows[:4] + [("3", None)], "Transaction_ID string, Product_ID string")
+    n, least = 6, 2  # rows without a transaction are a basket, but not one of all
+    expected = set()
+    for size in range(1, 4):
+        for items in combinations("abcd", size):
+            freq = sum(set(items) <= set(t) for t in tx.values())
+            if freq >= least:
+                expected.add((items, freq, round(freq / n, 9)))
+    found = baskets.frequent_itemsets(df, 0.25)
+    assert found.schema.simpleString() == "struct<items:array<string>,freq:bigint,support:double>"
+    assert {(tuple(r["items"]), r.freq, round(r.support, 9)) for r in found.collect()} == expected
+    assert baskets.frequent_itemsets(df.limit(0), 0.25).count() == 0
+
+
+def test_baskets_alike_are_mined_as_one_row(spark, monkeypatch):
+    rows = {}
+
+    def counted(df, name="stage", even=False):
+        rows[name] = (out := stage(df, name, even)).count()
+        return out
+
+    monkeypatch.setattr(baskets, "stage", counted)
+    df = spark.createDataFrame([(f"t{i}", p) for i in range(300) for p in "abc"], "Transaction_ID string, Product_ID string")
+    assert baskets.frequent_itemsets(df, 0.5).count() == 7
+    assert [rows.get(f"grown_{k}") for k in (1, 2, 3)] == [3, 3, 1]
