@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -191,6 +192,29 @@ def test_compare_classifiers(texts):
     assert len(found) == 8 and found["logistic"].accuracy > found["majority"].accuracy
 
 
+def test_texts_are_taken_apart_once_for_all_folds(spark, texts, monkeypatch):
+    """However many folds there are, characters are taken twice: for the terms to list and for the counts."""
+    calls, plain = [], sentiment.text.char_ngrams
+    monkeypatch.setattr(sentiment.text, "char_ngrams", lambda *a, **more: calls.append(1) or plain(*a, **more))
+    monkeypatch.setattr(sentiment, "fold_predictions", lambda *a, **more: [])
+    two = texts.where("label <> 1").withColumn("label", (F.col("label") / 2).cast("int"))
+    sentiment.compare_classifiers(two, folds=4, max_iter=2, trees=2).collect()
+    assert len(calls) == 2
+
+
+def test_totals_list_the_terms_that_a_vocabulary_has(spark, texts):
+    docs = texts.select((F.col("key").cast("int") % 3).alias("fold"), F.split("clean", " ").alias("terms"))
+    docs = docs.unionByName(spark.createDataFrame([(0, ["rare", "rare", "rare"]), (1, [])], docs.schema))
+    totals = sentiment.term_totals(docs, F.col("terms"), "fold").where("fold <> 2")
+    one = docs.where("fold <> 2").select("terms")
+    found = {r.term: (r.n, r.df) for r in totals.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")).collect()}
+    lists = [r.terms for r in one.collect()]
+    assert found == {t: (sum(x.count(t) for x in lists), sum(t in x for x in lists)) for x in lists for t in x}
+    vocabulary = CountVectorizer(inputCol="terms", outputCol="tf", minDF=3.0, vocabSize=4).fit(one).vocabulary
+    listed = sentiment.frequent_terms(totals, 3, 4)
+    assert [found[t][0] for t in listed] == [found[t][0] for t in vocabulary] and "rare" not in listed
+
+
 def test_folds_do_not_depend_on_order(texts):
     one = kfold(texts, "key").select("key", "fold")
     two = kfold(texts.orderBy(F.desc("key")).repartition(3), "key").select("key", "fold")
