@@ -215,6 +215,14 @@ def test_totals_list_the_terms_that_a_vocabulary_has(spark, texts):
     assert [found[t][0] for t in listed] == [found[t][0] for t in vocabulary] and "rare" not in listed
 
 
+def test_model_is_fitted_on_stored_counts(spark, texts, monkeypatch):
+    """Terms, several times longer than their texts, are never stored."""
+    stored, plain = [], sentiment.stage
+    monkeypatch.setattr(sentiment, "stage", lambda df, *a, **more: stored.extend(df.columns) or plain(df, *a, **more))
+    sentiment.fit_sentiment(texts.select("clean", "label"), 5)
+    assert "terms" not in stored and "tfidf_tf" in stored
+
+
 def test_folds_do_not_depend_on_order(texts):
     one = kfold(texts, "key").select("key", "fold")
     two = kfold(texts.orderBy(F.desc("key")).repartition(3), "key").select("key", "fold")
