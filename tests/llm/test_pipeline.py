@@ -81,6 +81,16 @@ def test_quality_keeps_columns(spark, folder):
     assert kept.exceptAll(docs).count() == 0
 
 
+def test_tokens_have_the_next_segmentations(spark, folder):
+    """The last stage lists segmentations as the operator's own query does."""
+    docs = frame(spark, [(1, "one two three"), (2, None), (3, ""), (4, "aaaa " * 9)])
+    model = cp.PieceModel.load(cp.PIECES)
+    got = {r.doc_id: r for r in cp.tokens(spark, docs, folder).collect()}
+    asked = {r.doc_id: r for r in cp.encode_pieces(docs, model, 3).collect()}
+    assert all(got[k].ids == asked[k].ids and got[k].alternatives == asked[k].alternatives for k in asked)
+    assert [len(got[k].alternatives) for k in (1, 2, 3, 4)] == [2, 0, 0, 2]
+
+
 def test_run(spark, folder):
     found = cp.run(spark, folder).collect()
     assert len({r.doc_id for r in found}) == len(found) > 50 and all(r.round_trip and r.n_pieces == len(r.ids) for r in found)
