@@ -117,6 +117,31 @@ def test_search_halves(rows):
     assert all(len(f.errors) == len(f.trees) + 1 for t in trials for f in t.fits)
 
 
+@pytest.mark.parametrize("most", [1 << 21, 0])
+def test_search_grows_every_set_whole(rows, data, most, monkeypatch):
+    """No set leaves early or is judged by fewer trees than it asks for, whatever its error."""
+    monkeypatch.setattr(boosting, "COPIED_ROWS", most)
+    drawn = [BoostParams(14, 2, 0.3, 0.8), BoostParams(16, 2, 1e-6), BoostParams(9, 3, 0.9), BoostParams(12, 1, 1e-5)]
+    trials, best = search_boosted(rows, FEATURES, drawn, "key")
+    assert [[len(f.trees) for f in t.fits] for t in trials] == [[p.n_estimators] * 4 for p in drawn]
+    assert all(len(f.errors) == len(f.trees) + 1 for t in trials for f in t.fits)
+    assert best.best() == min(t.best() for t in trials)
+
+
+def test_features_counted_together():
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(0, n, 900) for n in (64, 3, 40, 2, 7)]).astype(np.uint8)
+    gradient, nodes = np.rint(rng.normal(0, 1e6, 900)), [np.arange(0, 900, 2), np.array([5]), np.zeros(0, np.int64)]
+    for most in (64, 1 << 12):
+        groups = boosting.joint_groups([64, 3, 40, 2, 7], most)
+        assert sorted(f for g in groups for f in g) == [0, 1, 2, 3, 4]
+        assert all(np.prod([(64, 3, 40, 2, 7)[f] for f in g]) <= most for g in groups)
+        counted = boosting.Counted(x, 64)
+        for n, at in enumerate(nodes):
+            plain = boosting.histograms(x, at, np.zeros(len(at), np.int64), gradient[at], 1, 64)
+            assert (counted.sums(nodes, gradient)[:, n] == plain[:, 0]).all()
+
+
 def test_empty_columns_and_gaps(spark):
     rows = spark.createDataFrame([(f"k{i}", float(i % 3), None, float(i), i % 2) for i in range(12)], "key string, a double, b double, target double, fold int")
     model = fit_boosted(rows, ["a", "b"], [BoostParams(3, 2)], "key")[0]
