@@ -5,8 +5,8 @@ every model at hand: tasks add up gradients and counts (the Hessian of a squared
 bin, a shuffle adds the tasks' sums by model, and the best splits, not the sums, come back.  A search over
 parameter sets and folds so costs the passes of its deepest model.
 A table of at most ``COPIED_ROWS`` rows (some 60 MB) needs no shuffle between levels: it is copied for each core, models
-are dealt over the copies, and a pass grows all trees that are asked for.  There the rows of a node lie together, features
-are counted several at a time, and of two siblings only the smaller is counted.  The models are the same either way.
+are dealt over the copies, and a pass grows all trees that are asked for.  There features are counted several at a
+time, and of two siblings only the smaller is counted.  The models are the same either way.
 
 Gradients are whole multiples of a power of two, so their sums are exact: neither the number of tasks nor
 their order changes a model.
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -282,7 +282,6 @@ class Counted:
             groups = joint_groups(sizes, most)
             if not self.ways or groups != [g for g, _, _ in self.ways[-1]]:
                 self.ways.append([(g, [sizes[f] for f in g], self.code(g, sizes)) for g in groups])
-        self.rows, self.step = (np.empty(len(x), np.int64), np.empty(len(x), np.int64)), np.empty(len(x))
 
     def code(self, group: Sequence[int], sizes: Sequence[int]) -> np.ndarray:
         code = np.zeros(len(self.x), np.uint16)
@@ -290,19 +289,23 @@ class Counted:
             code = code * np.uint16(sizes[f]) + self.x[:, f]
         return code
 
-    def sums(self, nodes: Sequence[np.ndarray], gradient: np.ndarray) -> np.ndarray:
-        """Gradients and counts by node, feature and bin; ``nodes`` are the rows of each."""
-        most = sum(map(len, nodes)) // max(1, len(nodes)) // 8
+    def sums(self, nodes: Sequence[int], node: np.ndarray, seen: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        """Gradients and counts by node of ``nodes``, feature and bin, of the rows ``seen`` that are at such a node."""
+        listed, place_of = np.zeros(max(nodes) + 2, bool), np.zeros(max(nodes) + 2, np.int64)
+        listed[list(nodes)], place_of[list(nodes)] = True, range(len(nodes))
+        at = [i + np.flatnonzero(listed.take(node[i : i + CHUNK], mode="clip") & seen[i : i + CHUNK]) for i in range(0, len(node), CHUNK)]
+        at = np.concatenate(at) if at else np.zeros(0, np.int64)
+        most = len(at) // len(nodes) // 2
         way = next((w for w in self.ways if sum(math.prod(shape) for _, shape, _ in w) <= most), self.ways[-1])
         found = np.zeros((2, len(nodes), self.width, self.bins))
-        joint = [np.zeros((2, len(nodes), math.prod(shape))) for _, shape, _ in way]
-        for n, rows in enumerate(nodes):
-            for at in chunks(rows):
-                given = gradient.take(at, mode="clip")
-                for (_, _, code), of in zip(way, joint):
-                    place = code.take(at, mode="clip").astype(np.int64)
-                    of[0, n] += np.bincount(place, given, of.shape[2])
-                    of[1, n] += np.bincount(place, minlength=of.shape[2])
+        joint = [np.zeros((2, len(nodes) * math.prod(shape))) for _, shape, _ in way]
+        for rows in (at[i : i + 4 * CHUNK] for i in range(0, len(at), 4 * CHUNK)):
+            given, first = gradient.take(rows, mode="clip"), place_of.take(node.take(rows, mode="clip"), mode="clip")
+            for (_, shape, code), of in zip(way, joint):
+                place = first * math.prod(shape)
+                place += code.take(rows, mode="clip")
+                of[0] += np.bincount(place, given, of.shape[1])
+                of[1] += np.bincount(place, minlength=of.shape[1])
         for (group, shape, _), of in zip(way, joint):
             of = of.reshape(2, len(nodes), *shape)
             for i, f in enumerate(group):
@@ -310,63 +313,37 @@ class Counted:
                 found[:, :, f, : shape[i]] = of.sum(axis=others) if others else of
         return found
 
-    def start(self, train: np.ndarray, held: np.ndarray, drawn_rows: np.ndarray) -> int:
-        """Puts the drawn rows of ``train`` first, then all others; returns how many are drawn."""
-        seen = part_rows(train, self.rows[0][: len(train)], lambda i, at: ~drawn_rows[i : i + len(at)])
-        self.rows[0][len(train) :] = held
-        return seen
-
-    def tree(self, params: BoostParams, offered: np.ndarray, gradient: np.ndarray, seen: int, scale: float) -> tuple[Tree, np.ndarray]:
-        """A tree grown from the first ``seen`` rows, and what it adds to every row."""
-        tree, waiting, sums = Tree.empty(params.max_depth), {0}, {}
-        held = {0: (0, slice(0, seen), slice(seen, len(self.x)))}  # in which of the two arrays, and where, a node's rows are
-        rows_of = lambda n: self.rows[held[n][0]][held[n][1]]
+    def tree(self, params: BoostParams, offered: np.ndarray, gradient: np.ndarray, seen: np.ndarray, scale: float) -> tuple[Tree, np.ndarray]:
+        """A tree grown from the rows ``seen``, and the node in which each row ends."""
+        tree, waiting, sums, rows = Tree.empty(params.max_depth), {0}, {}, {}
+        node = np.zeros(len(self.x), np.min_scalar_type(2 << params.max_depth))
         for level in range(params.max_depth):
             nodes, first = sorted(waiting), (1 << level) - 1
             if not nodes:
                 break
             # Of two siblings the one with fewer rows is counted, the other one is what their parent has besides.
-            few = [n for n in nodes if not level or (len(rows_of(n)), n) < (len(rows_of(other(n))), other(n))]
-            made = self.sums([rows_of(n) for n in few], gradient)
+            few = [n for n in nodes if not level or (rows[n], n) < (rows[other(n)], other(n))]
+            made = self.sums(few, node, seen, gradient)
             own = {n: made[:, i] for i, n in enumerate(few)}
             sums = own if not level else own | {other(n): sums[(n - 1) // 2] - own[n] for n in few}
             found = best_splits(np.stack([sums[n] for n in nodes], axis=1), offered, params.reg_lambda, scale)
             place_splits(tree, waiting, level, [(n - first, f) for n, f in zip(nodes, found)], params)
-            for n in nodes:
-                if tree.feature[n] < 0:
-                    continue
-                column, cut, (array, *places) = self.x[:, tree.feature[n]], int(tree.cut[n]), held.pop(n)
-                below, rows = [], self.rows[array]
-                for place in places:
-                    if level + 1 == params.max_depth:
-                        for at in chunks(rows[place]):
-                            self.step[at] = tree.value[2 * n + 1 : 2 * n + 3].take(column.take(at, mode="clip") > cut, mode="clip")
-                    else:
-                        middle = place.start + part_rows(rows[place], self.rows[1 - array][place], lambda _, at: column.take(at, mode="clip") > cut)
-                        below.append((slice(place.start, middle), slice(middle, place.stop)))
-                if below:
-                    held[2 * n + 1], held[2 * n + 2] = ((1 - array, *side) for side in zip(*below))
-        for n, (array, *places) in held.items():
-            for place in places:
-                self.step[self.rows[array][place]] = tree.value[n]
-        return tree, self.step
-
-
-def chunks(rows: np.ndarray) -> Iterator[np.ndarray]:
-    return (rows[i : i + CHUNK] for i in range(0, len(rows), CHUNK))
-
-
-def part_rows(rows: np.ndarray, to: np.ndarray, goes_last: Callable[[int, np.ndarray], np.ndarray]) -> int:
-    """Writes ``rows`` to ``to``, those that go last behind the others; returns how many others there are."""
-    first, last = 0, len(rows)
-    for i in range(0, len(rows), CHUNK):
-        at = rows[i : i + CHUNK]
-        goes = goes_last(i, at)
-        behind, ahead = np.flatnonzero(goes), np.flatnonzero(~goes)
-        at.take(behind, out=to[last - len(behind) : last], mode="clip")
-        at.take(ahead, out=to[first : first + len(ahead)], mode="clip")
-        first, last = first + len(ahead), last - len(behind)
-    return first
+            for n, (_, _, _, total_h, _, left_h) in zip(nodes, found):
+                rows[2 * n + 1], rows[2 * n + 2] = left_h, total_h - left_h
+            self.route(node, tree, [n for n in nodes if tree.feature[n] >= 0])
+        return tree, node
+
+    def route(self, node: np.ndarray, tree: Tree, nodes: Sequence[int]) -> None:
+        """Moves the rows at ``nodes``, all of one level, to the nodes below, by comparing bytes in a row."""
+        splits = [(node.dtype.type(n), node.dtype.type(n + 1), self.x[:, tree.feature[n]], np.uint8(tree.cut[n])) for n in nodes]
+        for i in range(0, len(node), CHUNK):
+            at = node[i : i + CHUNK]
+            for n, more, column, cut in splits:
+                here = at == n
+                above = column[i : i + CHUNK] > cut
+                above &= here
+                at += here * more
+                at += above
 
 
 def other(node: int) -> int:
@@ -497,16 +474,19 @@ class Booster:
             margin = np.full(len(y), fit.base)
             for tree in fit.trees:
                 margin = margin + tree.value[tree.leaves(counted.x)]
-            train = np.arange(len(y)) if fit.fold is None else np.flatnonzero(fold != fit.fold)
-            held = np.zeros(0, np.int64) if fit.fold is None else np.flatnonzero(fold == fit.fold)
-            own, target = row[train], y[held]
+            train, held = fold != fit.fold, np.flatnonzero(fold == fit.fold)
+            if fit.fold is None:
+                train, held = np.ones(len(y), bool), held[:0]
+            target = y[held]
             for number in range(len(fit.trees), ends[model] + 1):
                 error = math.sqrt(float(((margin.take(held) - target) ** 2).sum()) / len(held)) if len(held) else 0.0
                 packed = b""
                 if number < ends[model]:  # else only the error after the last tree
-                    seen = counted.start(train, held, drawn(own, fit.seed, number, fit.params.subsample))
-                    tree, step = counted.tree(fit.params, fit.offered(width, number), rounded_gradient(margin, y, scale), seen, scale)
-                    margin += step
+                    seen = drawn(row, fit.seed, number, fit.params.subsample)
+                    seen &= train
+                    tree, node = counted.tree(fit.params, fit.offered(width, number), rounded_gradient(margin, y, scale), seen, scale)
+                    for i in range(0, len(y), CHUNK):
+                        margin[i : i + CHUNK] += tree.value.take(node[i : i + CHUNK])
                     packed = tree.feature.astype(np.int16).tobytes() + tree.cut.astype(np.uint8).tobytes() + tree.value.tobytes()
                 for column, value in zip(out, (model, number, packed, error, fit.fold is not None)):
                     column.append(value)
